@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataline.functions.keys import is_missing, office_rank, plain_family
 from strataline.llm.skeleton import disguised, look_alikes
+from strataline.llm.survivors import choose_rows, survivors, unbeaten
 from strataline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,5 +25,42 @@ def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look_alikes(table(spark, sf_dir, "patents_raw"), ["applicant", "title"])
 
 
+def _abstract_length() -> Column:
+    return F.when(is_missing(F.col("abstract")), 0).otherwise(F.length("abstract"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row of each family that no other row beats in abstract, office or arrival."""
+    trusts = {"abstract": _abstract_length(), "office": -office_rank(F.col("country")), "recency": F.col("loaded_at")}
+    best = unbeaten(table(spark, sf_dir, "patents_raw"), plain_family(F.col("family_id")), trusts, "seq")
+    return best.where("at_root").select(F.col("group").alias("family_id"), "seq")
+
+
+#: Fields that are taken from one row together.
+BUNDLES = {
+    "office": ["patent_id", "country", "number", "kind", "publication_date", "priority_date"],
+    "abstract": ["abstract", "abstract_lang"],
+    "title": ["title", "title_lang"],
+    "codes": ["ipcs", "cpcs"],
+    "applicant": ["applicant"],
+}
+
+
+def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One surviving record per family, bundle by bundle, title and abstract in one language."""
+    raw = table(spark, sf_dir, "patents_raw")
+    blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
+    lang = F.lower(F.trim(F.coalesce("title_lang", "abstract_lang", F.lit(""))))
+    trusts = {
+        "office": F.when(~blank("patent_id"), 1000.0 - 100 * office_rank(F.col("country"))),
+        "abstract": F.when(~is_missing(F.col("abstract")), F.length("abstract")),
+        "title": F.when(~is_missing(F.col("title")), F.length("title")),
+        "codes": F.when(~blank("ipcs") | ~blank("cpcs"), F.length(F.coalesce("ipcs", F.lit(""))) + F.length(F.coalesce("cpcs", F.lit("")))),
+        "applicant": F.when(~blank("applicant"), F.length("applicant")),
+    }
+    chosen = choose_rows(raw, plain_family(F.col("family_id")), lang, trusts)
+    return survivors(raw, chosen, BUNDLES).withColumnRenamed("group", "family_id")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p5_found, p5_groups)}
+    return {f.__name__: f for f in (p5_found, p5_groups, p6_found, p6_survivors)}
