@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataline.functions.keys import is_missing, office_rank, plain_family
+from strataline.llm.bpe import encoded, token_counts
+from strataline.llm.packing import fill_report, packed
 from strataline.llm.skeleton import disguised, look_alikes
 from strataline.llm.survivors import choose_rows, survivors, unbeaten
 from strataline.session import table
@@ -62,5 +64,36 @@ def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivors(raw, chosen, BUNDLES).withColumnRenamed("group", "family_id")
 
 
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The token ids of every document."""
+    return encoded(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def p7_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, tokens and empty documents per source."""
+    counts = token_counts(table(spark, sf_dir, "documents"), "source", "text")
+    return counts.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.count_if(F.col("n_tokens") == 0).alias("n_empty"))
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in a container of each capacity.
+
+    The opening line of a letter or note is what a reader is given and bears no loss.
+    """
+    return _containers(spark, sf_dir)
+
+
+def _containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    opening = F.when(F.col("doc_kind").isin("letter", "note"), F.regexp_extract("text", r"^[^\n]*\n", 0))
+    sized = token_counts(documents.select("doc_id", "text", opening.alias("opening")), "doc_id", "text", "opening")
+    return packed(sized, table(spark, sf_dir, "pack_limits"), documents.count())
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers of each capacity are."""
+    return fill_report(_containers(spark, sf_dir), table(spark, sf_dir, "pack_limits"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p5_found, p5_groups, p6_found, p6_survivors)}
+    return {f.__name__: f for f in (p5_found, p5_groups, p6_found, p6_survivors, p7_ids, p7_lengths, p8_containers, p8_fill)}
