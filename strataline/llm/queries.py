@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strataline.functions.keys import is_missing, office_rank, plain_family
 from strataline.llm.bpe import encoded, token_counts
+from strataline.llm.langid import Model, fit, identified, languages, training_sample
 from strataline.llm.packing import fill_report, packed
 from strataline.llm.skeleton import disguised, look_alikes
 from strataline.llm.survivors import choose_rows, survivors, unbeaten
@@ -17,6 +18,37 @@ from strataline.session import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Text columns of patents_raw with the columns of their labels.
+LABELLED = {"title": "title_lang", "abstract": "abstract_lang"}
+
+
+def _language_model(spark: SparkSession, sf_dir: str) -> Model:
+    """Trained on a bounded sample of labelled documents: at most 300 texts per language."""
+    sample = training_sample(table(spark, sf_dir, "documents"), "text", "lang", "doc_id")
+    return fit([(r["lang"], r["text"], r["rank"]) for r in sample.collect()])
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "patents_raw")
+    held = raw.select("seq", *[F.when(~is_missing(F.col(t)), F.col(t)).alias(t) for t in LABELLED], *LABELLED.values())
+    return identified(held, ["seq"], LABELLED, _language_model(spark, sf_dir))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The languages of every title and abstract that is unlabelled, labelled wrongly or mixed."""
+    codes = [r["lang"] for r in table(spark, sf_dir, "lang_codes").select("lang").where("lang IS NOT NULL").limit(1000).collect()]
+    label = F.lower(F.trim(F.coalesce("label", F.lit(""))))
+    rows = _segments(spark, sf_dir).select("seq", "field", label.alias("label"), languages(F.col("segments")).alias("langs"))
+    case = ~F.col("label").isin(codes) | (F.size("langs") > 1) | ~F.array_contains("langs", F.col("label"))
+    return rows.where(case).select("seq", "field", F.explode("langs").alias("lang"))
+
+
+def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every title and abstract by segments, each with its language and confidence."""
+    parts = F.posexplode("segments").alias("segment", "s")
+    return _segments(spark, sf_dir).select("seq", "field", parts).select("seq", "field", "segment", "s.lang", "s.confidence", "s.start_pos", "s.end_pos")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every applicant or title that isn't in its plain form."""
     return disguised(table(spark, sf_dir, "patents_raw"), ["seq"], ["applicant", "title"]).select("seq", "field")
@@ -96,4 +128,4 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p5_found, p5_groups, p6_found, p6_survivors, p7_ids, p7_lengths, p8_containers, p8_fill)}
+    return {f.__name__: f for f in (p1_found, p1_segments, p5_found, p5_groups, p6_found, p6_survivors, p7_ids, p7_lengths, p8_containers, p8_fill)}
