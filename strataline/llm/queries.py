@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strataline.functions.keys import is_missing, office_rank, plain_family
 from strataline.llm.bpe import encoded, token_counts
 from strataline.llm.langid import Model, fit, identified, languages, training_sample
+from strataline.llm.names import entities, entity_pairs
 from strataline.llm.packing import fill_report, packed
 from strataline.llm.skeleton import disguised, look_alikes
 from strataline.llm.survivors import choose_rows, survivors, unbeaten
@@ -49,6 +50,20 @@ def p1_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _segments(spark, sf_dir).select("seq", "field", parts).select("seq", "field", "segment", "s.lang", "s.confidence", "s.start_pos", "s.end_pos")
 
 
+def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities(table(spark, sf_dir, "applicant_names"), "name_id", "applicant_name", "country")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each pair of spellings of one entity."""
+    return entity_pairs(_entities(spark, sf_dir))
+
+
+def p2_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entity of every spelling."""
+    return _entities(spark, sf_dir)
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every applicant or title that isn't in its plain form."""
     return disguised(table(spark, sf_dir, "patents_raw"), ["seq"], ["applicant", "title"]).select("seq", "field")
@@ -128,4 +143,4 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_segments, p5_found, p5_groups, p6_found, p6_survivors, p7_ids, p7_lengths, p8_containers, p8_fill)}
+    return {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_entities, p5_found, p5_groups, p6_found, p6_survivors, p7_ids, p7_lengths, p8_containers, p8_fill)}
