@@ -12,6 +12,8 @@ from strataline.llm.bpe import encoded, token_counts
 from strataline.llm.langid import Model, fit, identified, languages, training_sample
 from strataline.llm.names import entities, entity_pairs
 from strataline.llm.packing import fill_report, packed
+from strataline.llm.pii import Finder, Lexicon, found, lexicon_of
+from strataline.llm.pii_examples import trained
 from strataline.llm.skeleton import disguised, look_alikes
 from strataline.llm.survivors import choose_rows, survivors, unbeaten
 from strataline.session import table
@@ -142,5 +144,23 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_report(_containers(spark, sf_dir), table(spark, sf_dir, "pack_limits"))
 
 
+def _redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    # At most LEXICON_WORDS rows: what the corpus says about its most telling words.
+    words = {r["word"]: (r["strong"], r["capital"], r["small"], r["opening"]) for r in lexicon_of(documents, "text").collect()}
+    trees, thresholds = trained()
+    return found(documents, "doc_id", "text", Finder(trees, list(thresholds), Lexicon(words)))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each item of personal information in the documents."""
+    return _redacted(spark, sf_dir).select("doc_id", F.inline("spans"))
+
+
+def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with typed placeholders in place of personal information."""
+    return _redacted(spark, sf_dir).select("doc_id", "redacted", F.size("spans").alias("n_items"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_entities, p5_found, p5_groups, p6_found, p6_survivors, p7_ids, p7_lengths, p8_containers, p8_fill)}
+    return {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_entities, p5_found, p5_groups, p6_found, p6_survivors, p7_ids, p7_lengths, p8_containers, p8_fill, p9_found, p9_redacted)}
