@@ -1 +1 @@
-
+"""Query compilation and slice planning for remote sources."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +33,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def worker_partitions(spark: SparkSession) -> int:
-    """A partition count that keeps every core busy and every Python worker small."""
-    return max(spark.sparkContext.defaultParallelism * 2, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per session, so that they need no installed copy.
+
+    The archive is read from the driver; executors that start later fetch it too.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_strataline_shipped", False):
+        return
+    folder = tempfile.mkdtemp(prefix="strataline-")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(folder, "strataline_package.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for at, folders, files in os.walk(os.path.join(root, "strataline")):
+            folders[:] = [d for d in folders if d != "__pycache__"]
+            for name in files:
+                if name.endswith(".py"):
+                    archive.write(os.path.join(at, name), os.path.relpath(os.path.join(at, name), root))
+    context.addPyFile(path)
+    context._strataline_shipped = True
