@@ -99,7 +99,7 @@ def with_packed_values(df: DataFrame, cell: str, kind: str, to: str) -> DataFram
     bare = F.when(
         c("__marked").rlike(_WRAPPED), F.btrim(F.substring(c("__marked"), F.lit(2), F.length(c("__marked")) - 2), F.lit(_EDGES))
     ).otherwise(c("__marked"))
-    df = df.withColumn("__bare", bare)
+    df = df.withColumn("__bare", F.regexp_replace(bare, rf"^[-–*•▪‣]{BLANK}++", ""))
     df = df.withColumn("__bare", F.when(c("__bare").rlike(_NUMBERED), F.regexp_replace("__bare", _NUMBERING, SEP)).otherwise(c("__bare")))
     df = df.withColumn(
         "__cut",

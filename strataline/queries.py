@@ -25,11 +25,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The values of every packed cell, with positions."""
-    return explode_packed(table(spark, sf_dir, "patents_raw"), ["seq"], {"applicant": "names", "ipcs": "codes", "cpcs": "codes"})
+    return explode_packed(table(spark, sf_dir, "patents_raw", heavy=True), ["seq"], {"applicant": "names", "ipcs": "codes", "cpcs": "codes"})
 
 
 def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "exchange_documents")
+    raw = table(spark, sf_dir, "exchange_documents", heavy=True)
     return link(node_tables(raw, "rec_id", "body"), "rec_id", {"document": "", "applicant": "document"})
 
 
@@ -50,13 +50,13 @@ def p4_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nodes.select("rec_id", F.col("document_pre"), F.col("applicant_pre"), "pre", "post", "lang", "text")
 
 
-def _patents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "patents_raw")
+def _patents(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    return table(spark, sf_dir, "patents_raw", heavy)
 
 
 def top_applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hundred organisations of most families."""
-    return organisations.top(organisations.facts(_patents(spark, sf_dir)), 100)
+    return organisations.top(organisations.facts(_patents(spark, sf_dir, True)), 100)
 
 
 def entity_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,7 @@ def canonical_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def explode_applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per organisation and record."""
-    return organisations.facts(_patents(spark, sf_dir))
+    return organisations.facts(_patents(spark, sf_dir, True))
 
 
 def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,22 +89,22 @@ def timeline_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tier_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record with its signals and label."""
-    return rules.classified(_patents(spark, sf_dir)).select("seq", "has_text", "has_anchor", "has_forbidden", "has_agri", "has_diag", "tier")
+    return rules.classified(_patents(spark, sf_dir, True)).select("seq", "has_text", "has_anchor", "has_forbidden", "has_agri", "has_diag", "tier")
 
 
 def tier_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of all labels, empty ones too."""
-    return rules.tier_counts(rules.classified(_patents(spark, sf_dir)))
+    return rules.tier_counts(rules.classified(_patents(spark, sf_dir, True)))
 
 
 def tier_compat_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of the labels that a sectioned file shows."""
-    return rules.classified(_patents(spark, sf_dir)).where(F.col("tier") != L.UNCLASSIFIED).groupBy("tier").agg(F.count("*").alias("n"))
+    return rules.classified(_patents(spark, sf_dir, True)).where(F.col("tier") != L.UNCLASSIFIED).groupBy("tier").agg(F.count("*").alias("n"))
 
 
 def sectioned_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows below headings, all columns strings."""
-    return rules.sectioned(rules.classified(_patents(spark, sf_dir)), ["patent_id", "title", "family_id"])
+    return rules.sectioned(rules.classified(_patents(spark, sf_dir, True)), ["patent_id", "title", "family_id"])
 
 
 def needs_review(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,7 +157,7 @@ def earliest_publication(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Abstracts without tags, paragraph numbers and superfluous blanks."""
-    return _patents(spark, sf_dir).select("seq", T.clean(F.col("abstract")).alias("abstract"))
+    return _patents(spark, sf_dir, True).select("seq", T.clean(F.col("abstract")).alias("abstract"))
 
 
 def accent_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,12 +173,12 @@ def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def biblio_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat row per exchange document."""
-    return biblio.flattened(table(spark, sf_dir, "exchange_documents"))
+    return biblio.flattened(table(spark, sf_dir, "exchange_documents", heavy=True))
 
 
 def abstract_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat rows with missing abstracts taken from the main table."""
-    flat = biblio.flattened(table(spark, sf_dir, "exchange_documents"))
+    flat = biblio.flattened(table(spark, sf_dir, "exchange_documents", heavy=True))
     return biblio.with_second_chance(flat, _patents(spark, sf_dir).select("patent_id", "abstract"))
 
 
