@@ -32,7 +32,7 @@ def _language_model(spark: SparkSession, sf_dir: str) -> Model:
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "patents_raw")
+    raw = table(spark, sf_dir, "patents_raw", heavy=True)
     held = raw.select("seq", *[F.when(~is_missing(F.col(t)), F.col(t)).alias(t) for t in LABELLED], *LABELLED.values())
     return identified(held, ["seq"], LABELLED, _language_model(spark, sf_dir))
 
@@ -68,7 +68,7 @@ def p2_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every applicant or title that isn't in its plain form."""
-    return disguised(table(spark, sf_dir, "patents_raw"), ["seq"], ["applicant", "title"]).select("seq", "field")
+    return disguised(table(spark, sf_dir, "patents_raw", heavy=True), ["seq"], ["applicant", "title"]).select("seq", "field")
 
 
 def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,12 +115,12 @@ def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The token ids of every document."""
-    return encoded(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return encoded(table(spark, sf_dir, "documents", heavy=True), "doc_id", "text")
 
 
 def p7_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, tokens and empty documents per source."""
-    counts = token_counts(table(spark, sf_dir, "documents"), "source", "text")
+    counts = token_counts(table(spark, sf_dir, "documents", heavy=True), "source", "text")
     return counts.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.count_if(F.col("n_tokens") == 0).alias("n_empty"))
 
 
@@ -133,7 +133,7 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents", heavy=True)
     opening = F.when(F.col("doc_kind").isin("letter", "note"), F.regexp_extract("text", r"^[^\n]*\n", 0))
     sized = token_counts(documents.select("doc_id", "text", opening.alias("opening")), "doc_id", "text", "opening")
     return packed(sized, table(spark, sf_dir, "pack_limits"), documents.count())
@@ -145,7 +145,7 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = table(spark, sf_dir, "documents", heavy=True)
     # At most LEXICON_WORDS rows: what the corpus says about its most telling words.
     words = {r["word"]: (r["strong"], r["capital"], r["small"], r["opening"]) for r in lexicon_of(documents, "text").collect()}
     trees, thresholds = trained()
