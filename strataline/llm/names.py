@@ -173,8 +173,8 @@ def one_slip(a: str, b: str) -> bool:
 
 
 def _person_word_fits(a: str, b: str, least: float) -> bool:
-    """By the ratio; then exactly: names of persons that are two slips apart are different names."""
-    return a == b or _word_fits(a, b, least) and one_slip(a, b)
+    """By the ratio; then exactly: names two slips apart, and known given names that differ, are different names."""
+    return a == b or not (a in _GIVEN and b in _GIVEN) and _word_fits(a, b, least) and one_slip(a, b)
 
 
 def given_forms(word: str) -> tuple[str, ...]:
@@ -184,7 +184,7 @@ def given_forms(word: str) -> tuple[str, ...]:
 
 def _given_fits(a: str, b: str) -> bool:
     """Equal up to a short form or a slip of the pen; two known names that differ never fit."""
-    return any(x == y or not (x in _GIVEN and y in _GIVEN) and _person_word_fits(x, y, LEAST_GIVEN) for x in given_forms(a) for y in given_forms(b))
+    return any(_person_word_fits(x, y, LEAST_GIVEN) for x in given_forms(a) for y in given_forms(b))
 
 
 def same_organisation(a: tuple, b: tuple) -> bool:
