@@ -7,6 +7,7 @@ NAMES = [
     ("A One|B Two; C Three|", ["A One", "B Two", "C Three"]),
     ("Foo Bar Labs, Co., Ltd.", None),
     ("Smith, John", None),
+    ("Foo Bar Labs,\u200b Ltd. | Baz Qux", ["Foo Bar Labs,\u200b Ltd.", "Baz Qux"]),
     ("Smith, John | Foo Bar, Inc. [US]", ["Smith, John", "Foo Bar, Inc. [US]"]),
     ("Foo Bar AG, Baz Qux GmbH", ["Foo Bar AG", "Baz Qux GmbH"]),
     ('Foo Bar AG, "Qux Labs, Ltd.", Baz Inc', ["Foo Bar AG", "Qux Labs, Ltd.", "Baz Inc"]),
