@@ -45,7 +45,7 @@ _CODES_SPLIT = rf"{_SPACE}*+(?:[,{STRONG}{SEP}]|(?<={BLANK})/(?={BLANK}|$)|/$)(?
 _INVERTED = rf"((?:^|{SEP}){_WORD}++{BLANK}*+),([^,{SEP}{OPEN}]*+)(?={SEP}|$)"
 #: A comma separates names when what follows is a whole value: one that holds a quoted span, or at least two words that aren't a legal form.
 _NAME_COMMA = (
-    rf"{BLANK}*+,(?=[{_BLANKS}\\p{{Cf}}]*+(?:{_END}|[^,{SEP}{OPEN}]*{_PLACE}[^,{SEP}]*{_END}|"
+    rf"{BLANK}*+,(?=[{_BLANKS}\p{{Cf}}]*+(?:{_END}|[^,{SEP}{OPEN}]*{_PLACE}[^,{SEP}]*{_END}|"
     rf"(?!(?i:company|co\.?){BLANK}+(?i:limited|ltd\.?)\b)[^{_BLANKS},\[{SEP}]++{BLANK}++[^{_BLANKS},\[{SEP}][^,{SEP}]*{_END}))[{_BLANKS},]*+"
 )
 _EDGES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
