@@ -76,6 +76,21 @@ slices AS (SELECT 'year' AS level, y AS first_day, last_day(CAST(y + INTERVAL 11
  UNION ALL SELECT 'day', d, d, days.n FROM days JOIN months ON CAST(date_trunc('month', d) AS DATE) = m JOIN years USING (y) WHERE years.n > {cap} AND months.n > {cap})"""
 
 
+def _nodes() -> str:
+    """Nodes of the record bodies by the path that a walk over the JSON gives each value."""
+    doc = r"\$\.world-patent-data\.exchange-documents\.exchange-document(?:\[\d+\])?"
+    biblio = doc + r"\.bibliographic-data"
+    applicant = biblio + r"\.parties\.applicants\.applicant(?:\[\d+\])?"
+    return rf"""WITH b AS (SELECT rec_id, CAST(body AS JSON) AS body FROM exchange_documents WHERE json_valid(body)),
+t AS (SELECT rec_id, j.id AS id, replace(replace(j.fullkey, '"', ''), 'ops:', '') AS path FROM b, json_tree(b.body) j WHERE j.type NOT IN ('NULL', 'ARRAY')),
+k AS (SELECT *, CASE WHEN regexp_full_match(path, '{doc}') THEN 'document' WHEN regexp_full_match(path, '{biblio}\.invention-title(?:\[\d+\])?') THEN 'title'
+ WHEN regexp_full_match(path, '{applicant}') THEN 'applicant' WHEN regexp_full_match(path, '{applicant}\.applicant-name\.name(?:\[\d+\])?') THEN 'name' END AS node,
+ regexp_extract(path, '^{doc}') AS doc, regexp_extract(path, '^{applicant}') AS app FROM t),
+n AS (SELECT *, row_number() OVER (PARTITION BY rec_id, node, CASE WHEN node = 'document' THEN '' WHEN node = 'name' THEN app ELSE doc END ORDER BY id) AS no FROM k WHERE node IS NOT NULL)
+SELECT n.rec_id AS rec_id, CAST(d.no AS INTEGER) AS doc_no, n.node AS node, CAST(CASE WHEN n.node = 'name' THEN a.no ELSE 0 END AS INTEGER) AS parent_no, CAST(n.no AS INTEGER) AS node_no
+FROM n JOIN n d ON d.node = 'document' AND d.rec_id = n.rec_id AND d.path = n.doc LEFT JOIN n a ON n.node = 'name' AND a.node = 'applicant' AND a.rec_id = n.rec_id AND a.path = n.app"""
+
+
 def _text_values(rows: list[tuple]) -> str:
     q = lambda v: "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + v.replace("'", "''") + "'"
     return ", ".join("(" + ", ".join(map(q, r)) + ")" for r in rows)
@@ -151,5 +166,6 @@ u AS (SELECT *, coalesce(TRY_CAST(coalesce(nullif(trim(week_used),''), nullif(tr
 SELECT n, round(mb, 6) AS used_mb, round(mb / 4000.0::DOUBLE * 100, 6) AS used_pct, round(greatest(0.0::DOUBLE, 100 - mb / 4000.0::DOUBLE * 100), 6) AS left_pct,
  TRY_CAST(nullif(regexp_extract(traffic, 'search=\\w+:(\\d+)', 1), '') AS INTEGER) AS search_rpm,
  CASE WHEN mb / 4000.0 * 100 >= 100 THEN 'EXHAUSTED' WHEN contains(coalesce(traffic,''), 'overloaded') THEN 'OVERLOADED' ELSE 'OK' END AS status FROM u""",
+        "p4_found": _nodes(),
         "office_order": f"SELECT {_RANK} AS office, count(*) AS n FROM patents_raw GROUP BY 1",
     }
