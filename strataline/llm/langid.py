@@ -18,6 +18,7 @@ price for every change.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -44,6 +45,8 @@ _EASTERN = re.compile(f"[{_EAST}]")
 #: Characters that are neither disguised nor part of a disguise, as far as languages go.
 _USUAL = re.compile(rf"[\x00-\x7f\u00a1-\u00ac\u00ae-\u024f\u2013-\u2026\u3001-\u303f，：；（）{_EAST}]*")
 _TAGS = re.compile(r"<[^<>]{1,40}>|\[\d{4}\]")
+#: Number of the token that opens a text; separators have -1, tokens of no language 0.
+OPENS = -2
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -207,7 +210,9 @@ class Identifier:
     def learn(self, tokens: set[str]) -> None:
         words = []
         for t in tokens:
-            if not t[-1].isalnum() and not t[0].isalnum():
+            if t == "\x00":
+                self.known[t] = OPENS
+            elif not t[-1].isalnum() and not t[0].isalnum():
                 self.known[t] = -1 if _separates(t) else 0
             elif _neutral(t):
                 self.known[t] = 0
@@ -234,10 +239,7 @@ class Identifier:
         if new := set(tokens).difference(known):
             self.learn(new)
         flat = np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens))
-        starts = np.array([i for i, t in enumerate(tokens) if t == "\x00"]) if len(tokens) < 64 else np.flatnonzero(flat == -1)
-        if len(starts) != len(texts):
-            marks = np.flatnonzero(flat == -1)
-            starts = marks[[tokens[i] == "\x00" for i in marks]]
+        starts = np.flatnonzero(flat == OPENS)
         ends = np.append(starts[1:], len(tokens))
         ids = np.maximum(flat, 0)
         scores, letters = self.rows[ids], self.letters[ids]
@@ -423,7 +425,8 @@ def fit(sample: list[tuple[str, str, int]]) -> Model:
     return model
 
 
-_IDENTIFIERS: dict[int, Identifier] = {}
+#: The identifier that a worker holds, by the name of its model.
+_IDENTIFIERS: dict[str, Identifier] = {}
 
 SEGMENTS = "array<struct<lang:string,confidence:double,start_pos:int,end_pos:int>>"
 
@@ -436,14 +439,16 @@ def identified(df: DataFrame, keys: list[str], texts: dict[str, str], model: Mod
     points. Texts are brought to their plain form first; where that changes their length,
     positions refer to the plain form.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared, name = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     cells = F.inline(F.array(*[F.struct(F.lit(t).alias("field"), F.col(f"`{label}`").alias("label"), F.col(f"`{t}`").alias("text")) for t, label in texts.items()]))
     source = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)], cells).where("text IS NOT NULL")
     n = len(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shared.value
-        identifier = _IDENTIFIERS.setdefault(id(held), Identifier(held))
+        if name not in _IDENTIFIERS:
+            _IDENTIFIERS.clear()
+            _IDENTIFIERS[name] = Identifier(shared.value)
+        identifier = _IDENTIFIERS[name]
         kind = pa.list_(pa.struct([("lang", pa.string()), ("confidence", pa.float64()), ("start_pos", pa.int32()), ("end_pos", pa.int32())]))
         for batch in batches:
             found = identifier.identify([readable(t) for t in batch.column(n + 2).to_pylist()])
