@@ -11,8 +11,10 @@ from strataline.operators.families import first_per_key
 
 def timeline(df: DataFrame, family: Column, year: Column, order: list[Column], low: int, high: int) -> DataFrame:
     """``year`` and ``n``: first record of each family, counted by valid year within both bounds."""
-    first = first_per_key(df.withColumn("__year", year), family, order)
-    return first.select(valid_year(F.col("__year")).alias("year")).where(F.col("year").between(low, high)).groupBy("year").agg(F.count("*").alias("n"))
+    # Only what decides goes through the aggregate.
+    slim = df.select(family.alias("family"), year.alias("year"), *[o.alias(f"o{i}") for i, o in enumerate(order)])
+    first = first_per_key(slim, F.col("family"), [F.col(f"o{i}") for i in range(len(order))])
+    return first.select(valid_year(F.col("year")).alias("year")).where(F.col("year").between(low, high)).groupBy("year").agg(F.count("*").alias("n"))
 
 
 def top_n(df: DataFrame, keys: list[str], value: Column, n: int) -> DataFrame:
