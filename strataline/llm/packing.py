@@ -16,7 +16,6 @@ tens of thousands; no task ever holds more than a shard.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
