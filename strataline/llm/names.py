@@ -5,10 +5,13 @@ organisation, or the surname, given name and initials of a person. Names of one
 *class* and compared once.
 
 Blocks are suffixes of the words, from a least length up to the whole word. A suffix that is too
-common is refined with other fields (the initial of the other word and the line of business);
-only what is still too common then is discarded, which leaves the longer suffixes of the same
-word and all suffixes of the other word. A pair is compared in the block of its longest common
-suffix only. Words are compared by the ratio of their longest common subsequence.
+common is refined with other fields (the initial of the other word and the line of business).
+A pair is compared in the block of its longest common suffix only. Words are compared by the
+ratio of their longest common subsequence.
+
+What is still too common then is left to a second path, as are pairs without a common suffix: keys
+that two names must share if the rules link them, made of what is left of a word when a slip is
+taken out. They are joined in blocks of any size.
 
 Initials alone ("Funevisa W") fit several persons. They are linked last, and only where all
 persons that they fit are one.
@@ -19,7 +22,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import permutations
+from functools import lru_cache
+from itertools import combinations, permutations, product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +36,7 @@ from strataline.session import checkpoint_dir
 
 #: Suffixes shorter than this aren't indexed.
 LEAST_SUFFIX = 1
-#: A suffix of more classes than this is refined; a refined one of more than MOST_REFINED is discarded.
+#: A suffix of more classes than this is refined; a refined one of more than MOST_REFINED is left to the second path.
 MOST_PLAIN, MOST_REFINED = 40, 400
 #: Least ratios of the longest common subsequence: of a word, of a person's word, of words run together.
 LEAST_WORD, LEAST_PERSON, LEAST_GIVEN, LEAST_JOINED = 0.75, 0.84, 0.75, 0.88
@@ -287,7 +291,7 @@ def classes_of(names: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _blocked(classes: DataFrame) -> DataFrame:
-    """Rows of ``key`` (the block), ``suffix`` and the class, for blocks of two classes or more."""
+    """Rows of ``key`` (the block), ``suffix`` and the class, for blocks of two classes or more that aren't left to ``_exact_links``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -357,6 +361,144 @@ def _links(blocked: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, how string").distinct()
 
 
+#: ``rest`` is the only other word of an anchor, in full; ``own`` marks the key that is the whole word.
+KEYS = "class_id long, key string, anchor string, rest string, own boolean, active boolean"
+#: A longer word is found by one of its pieces instead of by its subsequences.
+MOST_SUBSEQUENCES = 14
+
+
+@lru_cache(maxsize=10_000)
+def _least_common(a: int, b: int, least: float) -> int:
+    """Least length of the common subsequence that gives words of these lengths the ratio ``least``."""
+    return next(n for n in range(min(a, b) + 2) if n > min(a, b) or 2 * n / (a + b) >= least)
+
+
+@lru_cache(maxsize=50_000)
+def shortened(word: str, most: int) -> tuple[str, ...]:
+    """The word and what is left of it when up to ``most`` letters are left out."""
+    return tuple(dict.fromkeys("".join(c) for n in range(most + 1) if n < len(word) or not word for c in combinations(word, len(word) - n)))
+
+
+@lru_cache(maxsize=50_000)
+def subsequences(word: str, sizes: tuple[int, ...]) -> tuple[str, ...]:
+    """What a word has in common, at least, with any word of ratio LEAST_PERSON whose length is one of ``sizes``."""
+    size = len(word)
+    lengths = {n for m in sizes if m <= MOST_SUBSEQUENCES and (n := _least_common(size, m, LEAST_PERSON)) <= min(size, m)}
+    return tuple(dict.fromkeys(["".join(c) for n in sorted(lengths | {size}, reverse=True) for c in combinations(word, n)]))
+
+
+@lru_cache(maxsize=1_000)
+def pieces(size: int, least: float, most: int | None = None) -> list[tuple[int, int]]:
+    """``(start, end)`` of the pieces of a word of this size, one more than letters may be missing or added.
+
+    So any word of ratio ``least``, of up to ``most`` letters, holds at least one piece whole.
+    """
+    partners = [m for m in range(1, (most or 3 * size) + 1) if _least_common(size, m, least) <= min(size, m)]
+    n = 1 + max((size + m - 2 * _least_common(size, m, least) for m in partners), default=0)
+    return [(size * i // n, size * (i + 1) // n) for i in range(n)]
+
+
+def probes(word: str, size: int, least: float, most: int | None = None) -> Iterator[tuple[int, str]]:
+    """``(number, letters)`` where ``word`` may hold a piece of a word of ``size`` letters."""
+    common = _least_common(len(word), size, least)
+    if common > min(len(word), size):
+        return
+    for i, (start, end) in enumerate(pieces(size, least, most)):
+        for at in range(max(0, start - (size - common)), min(len(word) - (end - start), start + len(word) - common) + 1):
+            yield i, word[at : at + end - start]
+
+
+def person_keys(words: list[str], initials: str) -> Iterator[tuple[str, str, str | None, bool, bool]]:
+    """``(key, anchor, rest, own, active)``: two persons that ``same_person`` links have a key in common.
+
+    Words one slip apart are equal once a letter of each is left out. Full names have keys of both
+    words; a surname with initials has keys of the surname and the first initial, which full names
+    have too, but passive: two full names aren't compared for these.
+    """
+    if len(words) == 1:
+        for v in shortened(words[0], 1) if initials else ():
+            yield f"i|{v}|{initials[0]}", words[0], None, v == words[0], True
+    elif len(words) == 2:
+        for surname, given in (words, words[::-1]):
+            for initial in sorted({f[0] for f in given_forms(given)}):
+                for v in shortened(surname, 1):
+                    yield f"i|{v}|{initial}", surname, None, v == surname, False
+        for x, y in {tuple(sorted(p)) for p in product(given_forms(words[0]), given_forms(words[1]))}:
+            for v in shortened(x, 1):
+                for w in shortened(y, 1):
+                    yield "p|" + "|".join(sorted((v, w))), f"{x} {y}", None, (v, w) == (x, y), True
+
+
+def organisation_keys(words: list[str], business: str, sizes: tuple[int, ...]) -> Iterator[tuple[str, str, str | None, bool, bool]]:
+    """Like ``person_keys`` for ``same_organisation`` of as many words.
+
+    One word of the two names has the ratio LEAST_PERSON (the *anchor*), so both hold one
+    subsequence of the length that this takes. ``sizes`` has the lengths of words that occur.
+    """
+    for i, word in enumerate(words):
+        rest = words[1 - i] if len(words) == 2 and not words[1 - i].endswith(".") else None
+        tag = f"{len(words)}|{business}"
+        for v in subsequences(word, sizes) if len(word) <= MOST_SUBSEQUENCES else (word,):
+            yield f"o|{tag}|{v}", word, rest, v == word, True
+        if len(word) > MOST_SUBSEQUENCES:
+            for n, (start, end) in enumerate(pieces(len(word), LEAST_PERSON, len(word))):
+                yield f"l|{tag}|{len(word)}|{n}|{word[start:end]}", word, rest, False, False
+        for size in sizes:
+            if size > MOST_SUBSEQUENCES and size >= len(word):
+                for n, v in set(probes(word, size, LEAST_PERSON, size)):
+                    yield f"l|{tag}|{size}|{n}|{v}", word, rest, False, True
+
+
+def _candidates(classes: DataFrame) -> DataFrame:
+    """``a`` < ``b``: every two classes that ``same_organisation`` or ``same_person`` may link, whatever the size of a block.
+
+    A join of keys, without Python, in which large blocks may be split and spill.
+    """
+    # Bounded: lengths of words.
+    occurring = classes.where("kind = 'o'").select(F.explode("words").alias("word")).select(F.length("word")).distinct().collect()
+    sizes = tuple(sorted(r[0] for r in occurring))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_()]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                rows = []
+                for i, kind, words, business, initials in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns)):
+                    made = person_keys(words, initials) if kind == "p" else organisation_keys(words, business, sizes)
+                    rows += [(i, *k) for k in dict.fromkeys(made)]
+                columns = list(zip(*rows)) if rows else [[]] * 6
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[x.split()[0] for x in KEYS.split(", ")])
+
+    made = classes.select("class_id", "kind", "words", "business", "initials").mapInArrow(run, KEYS)
+    # Equal hashes of different keys only add a pair to compare.
+    rows = made.select(F.xxhash64("key").alias("key"), "class_id", F.xxhash64("anchor").alias("anchor"), "rest", "own", "active")
+    a, b = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "key"]) for side in "ab")
+    # Equal anchors are compared for the whole word only. The distance is never above that by the common subsequence.
+    near = F.levenshtein("rest_a", "rest_b") <= (1 - LEAST_WORD) * (F.length("rest_a") + F.length("rest_b"))
+    met = a.join(b, "key").where("class_id_a < class_id_b AND (active_a OR active_b) AND (anchor_a <> anchor_b OR own_a AND own_b)").where(F.coalesce(near, F.lit(True)))
+    return met.select(F.col("class_id_a").alias("a"), F.col("class_id_b").alias("b")).distinct()
+
+
+def _exact_links(classes: DataFrame) -> DataFrame:
+    """``a``, ``b``, ``how`` of all classes that name one entity."""
+    own = ["kind", "words", "business", "initials", "country"]
+    sides = [classes.select(F.col("class_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in own]) for s in "ab"]
+    pairs = _candidates(classes).join(sides[0], "a").join(sides[1], "b").where("kind_a = kind_b AND business_a = business_b")
+    rest = [f"{c}_{s}" for s in "ab" for c in own[1:]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for a, b, kind, *parses in zip(*(c.to_pylist() for c in batch.columns)):
+                left, right = parses[:4], parses[4:]
+                how = ("strong" if same_organisation(left, right) else "") if kind == "o" else same_person(left, right)
+                if how:
+                    out.append((a, b, how))
+            yield _link_batch(out)
+
+    return pairs.select("a", "b", "kind_a", *rest).mapInArrow(run, "a long, b long, how string")
+
+
 def _link_batch(rows: list[tuple[int, int, str]]) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[], [], []]
     return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string())], names=["a", "b", "how"])
@@ -372,7 +514,7 @@ def entities(df: DataFrame, key: str, name: str, country: str) -> DataFrame:
     checkpoint_dir(spark)
     members, classes = classes_of(parsed(df, key, name, country))
     classes, members = classes.checkpoint(), members.checkpoint()
-    links = _links(_blocked(classes)).checkpoint()
+    links = _links(_blocked(classes)).unionByName(_exact_links(classes)).distinct().checkpoint()
     strong = components(links.where("how = 'strong'"))
     everyone = classes.join(strong, F.col("class_id") == F.col("node"), "left").select(
         "class_id", F.coalesce("component", "class_id").alias("entity"), ((F.col("kind") == "p") & (F.size("words") == 1)).alias("initials_only")

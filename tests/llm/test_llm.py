@@ -243,6 +243,20 @@ def test_entities_against_all_pairs(spark):
     assert names.entities(df.limit(0), "name_id", "applicant_name", "country").count() == 0
 
 
+def linked_names(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "name_id long, applicant_name string").selectExpr("*", "CAST(NULL AS string) AS country")
+    return {(p.name_a, p.name_b) for p in names.entity_pairs(names.entities(df, "name_id", "applicant_name", "country")).collect()}
+
+
+def test_names_of_the_largest_blocks_are_compared(spark):
+    r = random.Random(12)
+    syllables = "ba do fi ga ke lu mi no pe ru so ta ve wi zo".split()
+    surnames = {"Fo" + "".join(r.choice(syllables) for _ in range(5)) for _ in range(700)}
+    assert len(surnames) > names.MOST_REFINED
+    texts = ["Funevisa William", "Funevise William", "Funevisa W", *[f"{s} William" for s in sorted(surnames)]]
+    assert {(0, 1)} <= linked_names(spark, texts)
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (101, 101), (None, 5), (200, 201), (200, 201)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
