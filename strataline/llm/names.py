@@ -5,13 +5,11 @@ organisation, or the surname, given name and initials of a person. Names of one
 *class* and compared once.
 
 Blocks are suffixes of the words, from a least length up to the whole word. A suffix that is too
-common is refined with other fields (the initial of the other word and the line of business).
-A pair is compared in the block of its longest common suffix only. Words are compared by the
-ratio of their longest common subsequence.
-
-What is still too common then is left to a second path, as are pairs without a common suffix: keys
-that two names must share if the rules link them, made of what is left of a word when a slip is
-taken out. They are joined in blocks of any size.
+common is left to keys that two names must share if the rules link them: of both words of a
+person, or of a word and the line of business, what is left when a slip is taken out; of words run
+together, their pieces. These bring together pairs without a common suffix too, and are joined in
+blocks of any size. In the blocks of suffixes a pair is compared for its longest common suffix
+only. Words are compared by the ratio of their longest common subsequence.
 
 Initials alone ("Funevisa W") fit several persons. They are linked last, and only where all
 persons that they fit are one.
@@ -23,7 +21,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations, permutations, product
+from itertools import chain, combinations, permutations, product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,8 +34,8 @@ from strataline.session import checkpoint_dir
 
 #: Suffixes shorter than this aren't indexed.
 LEAST_SUFFIX = 1
-#: A suffix of more classes than this is refined; a refined one of more than MOST_REFINED is left to the second path.
-MOST_PLAIN, MOST_REFINED = 40, 400
+#: A suffix of more classes than this is left to the keys of ``_candidates``.
+MOST_PLAIN = 40
 #: Least ratios of the longest common subsequence: of a word, of a person's word, of words run together.
 LEAST_WORD, LEAST_PERSON, LEAST_GIVEN, LEAST_JOINED = 0.75, 0.84, 0.75, 0.88
 
@@ -238,22 +236,14 @@ def same_person(a: tuple, b: tuple) -> str:
     return ""
 
 
-def suffixes(kind: str, words: list[str], initials: str) -> list[tuple[str, str]]:
-    """``(suffix, other)`` of every indexed suffix; ``other`` has the initials of the word and of the other one."""
+def suffixes(kind: str, words: list[str]) -> list[str]:
+    """Every indexed suffix."""
     out = []
-    for i, word in enumerate(words):
+    for word in words:
         if word.endswith(".") or len(word) < 4:
             continue
-        rest = [w for j, w in enumerate(words) if j != i]
-        if rest:
-            others = {f[0] for w in rest for f in (given_forms(w) if kind == "p" else (w,))}
-        elif kind == "p":
-            others = {initials[:1]}
-        else:
-            others = {word[0]} if len(word) >= 12 else {""}
-        forms = given_forms(word) if kind == "p" else (word,)
-        for form in forms:
-            out += [(form[-n:], form[0] + o) for n in range(LEAST_SUFFIX, min(len(form), 12) + 1) for o in sorted(others)]
+        for form in given_forms(word) if kind == "p" else (word,):
+            out += [form[-n:] for n in range(LEAST_SUFFIX, min(len(form), 12) + 1)]
     return out
 
 
@@ -291,30 +281,24 @@ def classes_of(names: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _blocked(classes: DataFrame) -> DataFrame:
-    """Rows of ``key`` (the block), ``suffix`` and the class, for blocks of two classes or more that aren't left to ``_exact_links``."""
+    """Rows of ``key`` (the block), ``suffix`` and the class, for blocks of two to MOST_PLAIN classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, keys, others = [], [], []
+            at, keys = [], []
             d = batch.to_pydict()
-            for i, (kind, words, initials) in enumerate(zip(d["kind"], d["words"], d["initials"])):
-                own = dict.fromkeys(suffixes(kind, words, initials))
+            for i, (kind, words) in enumerate(zip(d["kind"], d["words"])):
+                own = dict.fromkeys(suffixes(kind, words))
                 at += [i] * len(own)
-                keys += [k for k, _ in own]
-                others += [o for _, o in own]
+                keys += own
             taken = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(keys, pa.string()), pa.array(others, pa.string())], names=[*batch.schema.names, "suffix", "other"])
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(keys, pa.string())], names=[*batch.schema.names, "suffix"])
 
-    schema = "class_id long, kind string, words array<string>, business string, initials string, country string, suffix string, other string"
+    schema = "class_id long, kind string, words array<string>, business string, initials string, country string, suffix string"
     rows = classes.select("class_id", "kind", "words", "business", "initials", "country").mapInArrow(run, schema)
-    plain_key = F.concat_ws("|", "kind", "suffix")
-    counts = rows.groupBy(plain_key.alias("plain_key")).agg(F.countDistinct("class_id").alias("n"))
-    common = counts.where(F.col("n") > MOST_PLAIN).select("plain_key", F.lit(True).alias("common"))
-    marked = rows.withColumn("plain_key", plain_key).join(common, "plain_key", "left")
-    key = F.when(F.col("common"), F.concat_ws("|", "plain_key", "other", "business")).otherwise(F.col("plain_key"))
-    marked = marked.withColumn("key", key).drop("plain_key", "common", "other").distinct()
-    sizes = marked.groupBy("key").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= MOST_REFINED)).select("key")
-    return marked.join(sizes, "key")
+    rows = rows.withColumn("key", F.concat_ws("|", "kind", "suffix"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= MOST_PLAIN)).select("key")
+    return rows.join(sizes, "key")
 
 
 def _links(blocked: DataFrame) -> DataFrame:
@@ -365,6 +349,8 @@ def _links(blocked: DataFrame) -> DataFrame:
 KEYS = "class_id long, key string, anchor string, rest string, own boolean, active boolean"
 #: A longer word is found by one of its pieces instead of by its subsequences.
 MOST_SUBSEQUENCES = 14
+#: Names of as many words are compared with all of a word less.
+MANY_WORDS = 5
 
 
 @lru_cache(maxsize=10_000)
@@ -429,6 +415,29 @@ def person_keys(words: list[str], initials: str) -> Iterator[tuple[str, str, str
                     yield "p|" + "|".join(sorted((v, w))), f"{x} {y}", None, (v, w) == (x, y), True
 
 
+def joined_keys(words: list[str], business: str, many: dict[int, list[int]]) -> Iterator[tuple[str, str, str | None, bool, bool]]:
+    """Like ``organisation_keys`` for names of which one has a word more than the other.
+
+    A name has the pieces of its words run together in every order, for names of a word less;
+    ``many`` has the lengths that these occur in by their number of words. From MANY_WORDS on
+    the orders are too many, and all names of a line of business are compared.
+    """
+    n, joined = len(words), "".join(words)
+    if n > 1 and not any(w.endswith(".") for w in words):
+        if n >= MANY_WORDS:
+            yield f"m|{business}|{n}", "many", None, False, False
+        else:
+            for run in sorted({"".join(p) for p in permutations(words)}):
+                for i, (start, end) in enumerate(pieces(len(run), LEAST_JOINED)):
+                    yield f"j|{business}|{n}|{len(run)}|{i}|{run[start:end]}", "many", None, False, False
+    if n + 1 in many and n + 1 >= MANY_WORDS:
+        yield f"m|{business}|{n + 1}", "few", None, False, True
+    elif n + 1 in many:
+        for size in many[n + 1]:
+            for i, v in sorted(set(probes(joined, size, LEAST_JOINED))):
+                yield f"j|{business}|{n + 1}|{size}|{i}|{v}", "few", None, False, True
+
+
 def organisation_keys(words: list[str], business: str, sizes: tuple[int, ...]) -> Iterator[tuple[str, str, str | None, bool, bool]]:
     """Like ``person_keys`` for ``same_organisation`` of as many words.
 
@@ -454,9 +463,12 @@ def _candidates(classes: DataFrame) -> DataFrame:
 
     A join of keys, without Python, in which large blocks may be split and spill.
     """
-    # Bounded: lengths of words.
-    occurring = classes.where("kind = 'o'").select(F.explode("words").alias("word")).select(F.length("word")).distinct().collect()
-    sizes = tuple(sorted(r[0] for r in occurring))
+    # Bounded: lengths of words, and of all words of a name.
+    organisations = classes.where("kind = 'o'")
+    sizes = tuple(sorted(r[0] for r in organisations.select(F.explode("words").alias("word")).select(F.length("word")).distinct().collect()))
+    many: dict[int, list[int]] = {}
+    for n, length in organisations.select(F.size("words"), F.length(F.array_join("words", ""))).distinct().collect():
+        many.setdefault(n, []).append(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_()]
@@ -464,7 +476,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 rows = []
                 for i, kind, words, business, initials in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns)):
-                    made = person_keys(words, initials) if kind == "p" else organisation_keys(words, business, sizes)
+                    made = person_keys(words, initials) if kind == "p" else chain(organisation_keys(words, business, sizes), joined_keys(words, business, many))
                     rows += [(i, *k) for k in dict.fromkeys(made)]
                 columns = list(zip(*rows)) if rows else [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[x.split()[0] for x in KEYS.split(", ")])

@@ -252,11 +252,44 @@ def test_names_of_the_largest_blocks_are_compared(spark):
     r = random.Random(12)
     syllables = "ba do fi ga ke lu mi no pe ru so ta ve wi zo".split()
     surnames = {"Fo" + "".join(r.choice(syllables) for _ in range(5)) for _ in range(700)}
-    assert len(surnames) > names.MOST_REFINED
+    assert len(surnames) > 400
     texts = ["Funevisa William", "Funevise William", "Funevisa W", *[f"{s} William" for s in sorted(surnames)]]
     assert {(0, 1)} <= linked_names(spark, texts)
 
 
+def test_common_suffixes_do_not_part_run_together_words_and_slips_of_initials(spark):
+    r = random.Random(13)
+    word = lambda: "".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(4)).capitalize()
+    texts = ["Notbokmek Fomgankix Biosciences", "Notbokmekfomgankix Biosciences", "Notbokmek Fomganpix Genetics", "Notbokmekfomgankiz Genetics", "Smith John", "Gmith John"]
+    texts += [f"{word()} Fomgankix Biosciences" for _ in range(60)] + [f"{word()} John" for _ in range(60)] + [f"{word()} Smith" for _ in range(60)]
+    assert {(0, 1), (2, 3), (4, 5)} <= linked_names(spark, texts)
+
+
+def test_names_that_are_linked_share_a_key():
+    r = random.Random(14)
+    sizes = tuple(range(1, 40))
+    many = {n: list(range(1, 60)) for n in range(1, 7)}
+
+    def slipped(w):
+        for _ in range(r.randint(0, max(1, len(w) // 5))):
+            i = r.randrange(len(w))
+            w = r.choice([w[:i] + w[i + 1 :], w[:i] + r.choice("abc") + w[i:], w[:i] + r.choice("abc") + w[i + 1 :]]) or w
+        return w
+
+    n = 0
+    for _ in range(1500):
+        words = ["".join(r.choice("abcdef") for _ in range(r.choice([2, 5, 8, 9, 12, 15, 18]))) for _ in range(r.randint(1, 3))]
+        other = [slipped(w) for w in words]
+        r.shuffle(other)
+        if len(other) > 1 and r.random() < 0.5:
+            other = [other[0] + other[1], *other[2:]]
+        if names.same_organisation((words, ""), (other, "")):
+            n += 1
+            left, right = ({k[0]: k[4] for k in [*names.organisation_keys(w, "", sizes), *names.joined_keys(w, "", many)]} for w in (words, other))
+            assert any(left[k] or right[k] for k in left.keys() & right.keys()), (words, other)
+    assert n > 300
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (101, 101), (None, 5), (200, 201), (200, 201)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
