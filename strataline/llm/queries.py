@@ -98,10 +98,25 @@ BUNDLES = {
 
 
 def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One surviving record per family, bundle by bundle, title and abstract in one language."""
+    """One surviving record per family, bundle by bundle, title and abstract of rows of one language.
+
+    A row's language is its title's label, failing that its abstract's, as its SQL has it. The
+    labels of the two texts themselves may differ; ``p6_consistent`` has them equal.
+    """
+    return _survivors(spark, sf_dir, F.lower(F.trim(F.coalesce("title_lang", "abstract_lang", F.lit("")))))
+
+
+def p6_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One surviving record per family, bundle by bundle, title and abstract labelled alike.
+
+    Each text has its own label; null and blank ones are unknown, which agrees with unknown only.
+    """
+    return _survivors(spark, sf_dir, {k: F.lower(F.trim(F.coalesce(c, F.lit("")))) for k, c in LABELLED.items()})
+
+
+def _survivors(spark: SparkSession, sf_dir: str, lang: Column | dict[str, Column]) -> DataFrame:
     raw = table(spark, sf_dir, "patents_raw")
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
-    lang = F.lower(F.trim(F.coalesce("title_lang", "abstract_lang", F.lit(""))))
     trusts = {
         "office": F.when(~blank("patent_id"), 1000.0 - 100 * office_rank(F.col("country"))),
         "abstract": F.when(~is_missing(F.col("abstract")), F.length("abstract")),
@@ -163,4 +178,4 @@ def p9_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_entities, p5_found, p5_groups, p6_found, p6_survivors, p7_ids, p7_lengths, p8_containers, p8_fill, p9_found, p9_redacted)}
+    return {f.__name__: f for f in (p1_found, p1_segments, p2_found, p2_entities, p5_found, p5_groups, p6_found, p6_survivors, p6_consistent, p7_ids, p7_lengths, p8_containers, p8_fill, p9_found, p9_redacted)}

@@ -71,18 +71,24 @@ SURVIVOR_SCHEMA = (
 )
 
 
-def choose_rows(df: DataFrame, group: Column, lang_of: Column, trusts: dict[str, Column], row: str = "seq") -> DataFrame:
+def choose_rows(df: DataFrame, group: Column, lang_of: Column | dict[str, Column], trusts: dict[str, Column], row: str = "seq") -> DataFrame:
     """Per group: the row that each bundle of the survivor comes from.
 
-    ``trusts`` has ``abstract`` and ``title`` (tied: both must have the value of ``lang_of``),
+    ``trusts`` has ``abstract`` and ``title`` (tied: both must have the value of ``lang_of``,
+    of the row or of each of the two bundles by its name),
     and ``office``, ``class``, ``applicant`` (tied to nothing); a bundle of null trust is no
     candidate. Among candidates of equal trust the smallest ``row`` wins. Groups of one row are
     returned too; null groups aren't.
     """
     free = ["office", "codes", "applicant"]
-    rows = df.select(group.alias("group"), lang_of.alias("value"), (-F.col(f"`{row}`")).alias("minus"), *[t.cast("double").alias(k) for k, t in trusts.items()])
+    of = lang_of if isinstance(lang_of, dict) else {"abstract": lang_of, "title": lang_of}
+    # A row of two values is a candidate under each, with the bundle that has it; it counts once.
+    rows = df.select(
+        group.alias("group"), (-F.col(f"`{row}`")).alias("minus"), *[t.cast("double").alias(k) for k, t in trusts.items()], *[c.alias(f"{k}_value") for k, c in of.items()]
+    ).select("*", F.posexplode(F.array_distinct(F.array(*[f"{k}_value" for k in of]))).alias("at", "value"))
+    rows = rows.withColumns({k: F.when(F.col(f"{k}_value").eqNullSafe(F.col("value")), F.col(k)) for k in of})
     best = {k: F.max(F.when(F.col(k).isNotNull(), F.struct(k, "minus"))).alias(k) for k in trusts}
-    per_value = rows.where("group IS NOT NULL").groupBy("group", "value").agg(F.count("*").alias("n"), *best.values())
+    per_value = rows.where("group IS NOT NULL").groupBy("group", "value").agg(F.count_if(F.col("at") == 0).alias("n"), *best.values())
     per_group = per_value.groupBy("group").agg(
         F.sum("n").alias("n_rows"),
         *[F.max(k).alias(k) for k in free],

@@ -174,6 +174,15 @@ def test_survivors_take_whole_bundles(spark):
     assert got["g"].abstract_row is None and got["g"].text_lang is None and None not in got
 
 
+def test_title_and_abstract_have_labels_of_their_own(spark):
+    # Row 1 has an abstract of another language than its title; row 4's title label is unknown.
+    rows = [(1, "f", "en", "de", 9.0, 5.0), (2, "f", "en", "en", 3.0, 4.0), (3, "g", "de", "de", 2.0, 2.0), (4, "g", "", "de", 5.0, 9.0)]
+    df = spark.createDataFrame(rows, "seq long, fam string, tl string, al string, a double, t double")
+    trusts = {"abstract": F.col("a"), "title": F.col("t"), "office": F.lit(1.0), "codes": F.lit(None), "applicant": F.lit(None)}
+    got = {r.group: r for r in survivors.choose_rows(df, F.col("fam"), {"abstract": F.col("al"), "title": F.col("tl")}, trusts).collect()}
+    assert [(g.n_rows, g.text_lang, g.abstract_row, g.title_row, g.trust, g.root_bound) for g in (got["f"], got["g"])] == [(2, "de", 1, None, 10.0, 15.0), (2, "", None, 4, 10.0, 15.0)]
+
+
 # ---------------------------------------------------------------- names
 
 
