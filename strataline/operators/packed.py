@@ -6,7 +6,8 @@ hot key costs no more than any other row and nothing is shuffled.
 The steps are those of quote-safe splitting:
 
 1. quoted spans are replaced by indexed placeholders. The placeholder is ``U+E000 digits U+E002``;
-   a ``U+E000`` already in the text becomes ``U+E000 U+E001``, so no text can be mistaken for one;
+   a working character already in the text is written as ``U+E000`` and another character, so no
+   text can be mistaken for a placeholder and none is altered;
 2. the rest is split at the delimiters;
 3. placeholders are restored by looking their index up in the array of spans;
 4. the values are exploded with their positions.
@@ -17,9 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-OPEN, STUFF, CLOSE = "", "", ""
-#: Stands for a delimiter that was found, and for a comma that belongs to a value; texts that hold these characters get blanks instead.
-SEP, KEPT = "", ""
+OPEN, CLOSE = "\ue000", "\ue002"
+#: Stands for a delimiter that was found, and for a comma that belongs to a value.
+SEP, KEPT = "\ue003", "\ue004"
+#: How a text's own characters of these kinds are written while the cell is worked on: OPEN and a letter of its own.
+#: Every OPEN of the text is written so too, so that what follows an OPEN is never the text's.
+STUFFED = {OPEN: OPEN + "\ue010", CLOSE: OPEN + "\ue012", SEP: OPEN + "\ue013", KEPT: OPEN + "\ue014"}
 
 #: Blanks as Unicode knows them, with the separators U+001C to U+001F, for use inside a character class.
 _BLANKS = r"\s\x1c-\x1f\x85   -     　"
@@ -40,7 +44,7 @@ _NUMBERED = rf"^(?:\(1\)|1[.)]){BLANK}"
 _NUMBERING = rf"(?:^|(?<=[{_BLANKS}|;,]))(?:\(\d{{1,3}}\)|\d{{1,3}}[.)]){BLANK}++"
 _NAMES_SPLIT = rf"{_SPACE}*+(?:[{STRONG}{SEP}]|(?<={BLANK})/(?={BLANK}|$)|/$){_REST}"
 #: Blanks between classification symbols separate: the next one opens with section, class and subclass.
-_CODES_SPLIT = rf"{_SPACE}*+(?:[,{STRONG}{SEP}]|(?<={BLANK})/(?={BLANK}|$)|/$)(?:,|{_REST})*+|{BLANK}++(?={OPEN}|[A-HY]\d\d[A-Z]{BLANK}?\d)"
+_CODES_SPLIT = rf"{_SPACE}*+(?:[,{STRONG}{SEP}]|(?<={BLANK})/(?={BLANK}|$)|/$)(?:,|{_REST})*+|{BLANK}++(?={OPEN}\d|[A-HY]\d\d[A-Z]{BLANK}?\d)"
 #: "Surname, Given": one word before the only comma of a piece.
 _INVERTED = rf"((?:^|{SEP}){_WORD}++{BLANK}*+),([^,{SEP}{OPEN}]*+)(?={SEP}|$)"
 #: A comma separates names when what follows is a whole value: one that holds a quoted span, or at least two words that aren't a legal form.
@@ -70,8 +74,16 @@ def _unquote(span: Column) -> Column:
 
 def _clean(cell: Column) -> Column:
     text = F.btrim(F.coalesce(cell, F.lit("")), F.lit(_EDGES))
-    safe = F.replace(F.translate(text, SEP + KEPT, "  "), F.lit(OPEN), F.lit(OPEN + STUFF))
-    return F.when(text.contains(OPEN[:1]) | text.contains(SEP) | text.contains(KEPT), safe).otherwise(text)
+    safe = text
+    for own, written in STUFFED.items():  # OPEN first
+        safe = F.replace(safe, F.lit(own), F.lit(written))
+    return F.when(text.rlike(f"[{''.join(STUFFED)}]"), safe).otherwise(text)
+
+
+def _restored(value: Column) -> Column:
+    for own, written in reversed(STUFFED.items()):  # OPEN last
+        value = F.replace(value, F.lit(written), F.lit(own))
+    return value
 
 
 def with_packed_values(df: DataFrame, cell: str, kind: str, to: str) -> DataFrame:
@@ -119,7 +131,7 @@ def with_packed_values(df: DataFrame, cell: str, kind: str, to: str) -> DataFram
             F.transform(F.split(part, _PLACE, -1), lambda x, i: F.concat(x, F.coalesce(F.get(c("__spans"), F.get(at, i).cast("int")), F.lit("")))), ""
         )
         value = F.when(part.rlike(f"^{_PLACE}$"), _unquote(F.get(c("__spans"), F.get(at, F.lit(0)).cast("int")))).when(part.rlike(_PLACE), inside).otherwise(part)
-        return F.replace(value, F.lit(OPEN + STUFF), F.lit(OPEN))
+        return _restored(value)
 
     values = F.when(c("__cut").contains(OPEN), F.filter(F.transform("__parts", restore), lambda v: ~v.rlike(r"^[\p{Z}\s]*$"))).otherwise(c("__parts"))
     return df.withColumn(to, values).drop("__text", "__spans", "__around", "__marked", "__bare", "__cut", "__parts", "__plain")

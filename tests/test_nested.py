@@ -1,7 +1,9 @@
 import json
 
+import pytest
+
 from strataline.operators.biblio import flattened, quota, with_second_chance
-from strataline.operators.nested import BIBLIO, label, link, node_tables
+from strataline.operators.nested import BIBLIO, NodeKind, label, link, node_tables, parse
 
 
 def wrap(doc, p=""):
@@ -58,14 +60,45 @@ def test_link_and_edge_cases(spark):
     assert node_tables(df.limit(0), "rec_id", "body").count() == 0
 
 
-def test_deep_record():
-    tree = {}
-    at = tree
-    for _ in range(20000):
-        at["x"] = {}
-        at = at["x"]
-    at["exchange-document"] = {"bibliographic-data": {"invention-title": "deep"}}
-    assert [n[0] for n in label(tree, BIBLIO)] == ["document", "title"]
+def test_deep_record(spark):
+    inner = '{"exchange-document": {"bibliographic-data": {"invention-title": "deep"}}}'
+    deep = '{"x": ' * 200_000 + inner + "}" * 200_000
+    lists = "[" * 100_000 + inner + "]" * 100_000
+    broken = '{"x": ' * 100_000 + inner
+    df = spark.createDataFrame([(1, deep), (2, lists), (3, broken)], "rec_id long, body string")
+    got = sorted((r.rec_id, r.kind, r.text) for r in node_tables(df, "rec_id", "body").collect())
+    assert got == [(1, "document", None), (1, "title", "deep"), (2, "document", None), (2, "title", "deep")]
+
+
+def test_own_parser_against_the_library():
+    texts = ['{"a": [1, -2.5e3, "x\\u00e9\\n", true, null, {}, [], {"b": {"c": [[]]}}]}', " [] ", "7", '"s"', '{"a": 1, "a": 2}', "", "{", "[1,]", '{"a"}', "[1] 2", "nul", '{"a": 1,}', "[", '{1: 2}', "-", "[1 2]"]
+    pad = 30_000
+    for text in texts:
+        try:
+            want = json.loads(text)
+        except ValueError:
+            with pytest.raises(ValueError):
+                parse("[" * pad + text + "]" * pad) if text.strip() else parse(text)
+            continue
+        got = parse("[" * pad + text + "]" * pad)
+        for _ in range(pad):
+            (got,) = got
+        assert got == want, text
+
+
+def test_recursive_kinds(spark):
+    kinds = (NodeKind("part", ("part",), None, True), NodeKind("label", ("name",), "part"))
+    body = json.dumps({"part": {"name": "a", "part": [{"name": "b", "part": {"name": "c"}}, {"name": "d"}], "name2": 0, "z": {"part": {"name": "e"}}}, "part2": 1})
+    body = body.replace('"name2": 0', '"name2": 0, "name3": {}')
+    late = '{"part": {"part": {"part": {}}, "name": "late"}}'
+    df = spark.createDataFrame([(1, body), (2, late)], "rec_id long, body string")
+    linked = link(node_tables(df, "rec_id", "body", kinds), "rec_id", {"part": ""}, kinds)
+    parts = {(r.rec_id, r.pre): (r.no, r.pre, r.post) for r in linked.where("kind = 'part'").collect()}
+    assert sorted(p[0] for k, p in parts.items() if k[0] == 1) == [1, 2, 3, 4, 5]
+    for r in linked.where("kind = 'label'").collect():
+        around = [p for (rec, _), p in parts.items() if rec == r.rec_id and p[1] < r.pre and r.post < p[2]]
+        assert (r.part_no, r.part_pre) == max(around, key=lambda p: p[1])[:2]
+    assert {r.text: r.part_no for r in linked.where("kind = 'label'").collect()} == {"a": 1, "b": 2, "c": 3, "d": 4, "e": 5, "late": 1}
 
 
 def test_quota(spark):

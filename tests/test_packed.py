@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from strataline.operators.packed import explode_packed
 
@@ -63,3 +64,12 @@ def test_long_cell_and_single_values(spark):
     assert explode_packed(df, ["seq"], {"c": "names"}).count() == 3000
     one = spark.createDataFrame([(1, ' "Foo Bar" '), (2, None)], "seq long, c string")
     assert [(r.seq, r.val) for r in explode_packed(one, ["seq"], {"c": "names"}, least=1).collect()] == [(1, "Foo Bar")]
+
+
+def test_working_characters_are_kept(spark):
+    own = "".join(map(chr, [*range(0xE000, 0xE006), *range(0xE010, 0xE016)]))
+    cells = [f'A{own} One | "B; {own[::-1]}Two" | \ue0000\ue002 C', f"\ue000\ue011 A; {own} B", "A61K31/713\ue003; \ue0001\ue002"]
+    want = [[f"A{own} One", f"B; {own[::-1]}Two", "\ue0000\ue002 C"], ["\ue000\ue011 A", f"{own} B"], ["A61K31/713\ue003", "\ue0001\ue002"]]
+    df = spark.createDataFrame(list(enumerate(cells)), "seq long, c string")
+    got = explode_packed(df.where("seq < 2"), ["seq"], {"c": "names"}).unionByName(explode_packed(df.where("seq = 2"), ["seq"], {"c": "codes"}))
+    assert [[r.val for r in got.where(F.col("seq") == i).orderBy("pos").collect()] for i in range(3)] == want
