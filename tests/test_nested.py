@@ -33,6 +33,13 @@ def test_flatten(spark):
     assert (r.cpcs, r.ipcs) == ("A61K31/713, G01", "C12N, G01")
     empty = got[2, 1]
     assert (empty.title, empty.abstract, empty.applicant, empty.patent_id, empty.priority_date) == ("No title", "No abstract available in EPO database", "", "", "")
+    # Both keys: an empty prefixed one falls through to the other, a filled one counts.
+    both = json.dumps({"ops:world-patent-data": {}, "world-patent-data": {"exchange-documents": {"ops:exchange-document": [], "exchange-document": [dict(FULL, **{"ops:abstract": {}})]}}})
+    one = json.dumps({"world-patent-data": {"exchange-documents": {"ops:exchange-document": FULL, "exchange-document": [{}, {}]}}})
+    twice = flattened(spark.createDataFrame([(1, both), (2, one)], "rec_id long, body string")).collect()
+    assert [(x.rec_id, x.doc_no, x.title, x.abstract) for x in sorted(twice)] == [(1, 1, "Title", "Hello there"), (2, 1, "Title", "Hello there")]
+    first = flattened(spark.createDataFrame([(1, wrap(FULL))], "rec_id long, body string"), first_form=True).first()
+    assert (first.cpcs, first.ipcs) == ("A61K31/713, C12N/, G01/", "")
     other = spark.createDataFrame([("", "Found"), ("", "Later"), (None, None)], "patent_id string, abstract string")
     assert {x.abstract for x in with_second_chance(spark.createDataFrame([empty]), other).collect()} == {"Found"}
 
