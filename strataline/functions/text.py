@@ -93,3 +93,8 @@ def needs_review(title: Column, abstract: Column) -> Column:
 def url_quote(c: Column) -> Column:
     """Percent-encoding with blanks as %20."""
     return F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))
+
+
+def elapsed(seconds: Column) -> Column:
+    """Whole minutes and seconds as ``3m 7s``; null stays null."""
+    return F.concat(F.floor(seconds / 60).cast("string"), F.lit("m "), F.floor(F.pmod(seconds, F.lit(60))).cast("string"), F.lit("s"))

@@ -7,11 +7,15 @@ sends one row per family; a family that holds a third of all rows is no hot task
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataline.functions.keys import office_rank
 from strataline.functions.text import trim
 
+#: Values of ``seq`` whose rows without any id are numbered together.
+STRETCH = 100_000
+
 
 def first_per_key(df: DataFrame, key: Column, order: list[Column]) -> DataFrame:
     """The first row of each ``key`` by ``order``, which must decide all ties; null is a key."""
@@ -37,17 +41,20 @@ def repaired_family(df: DataFrame) -> DataFrame:
     """``df`` with a blank ``family_id`` replaced by the publication id, else by a numbered placeholder.
 
     Placeholders count the rows with neither from 0, in order of ``seq`` and by year of publication.
-    Only those rows are ranked.
+    Only those rows are ranked: within stretches of ``seq``, on top of the number of such rows in the
+    stretches before, so that a year of any number of rows is no single task.
     """
     family = F.nullif(F.coalesce("family_id", F.lit("")), F.lit(""))
     own = F.coalesce(family, F.nullif(F.coalesce("patent_id", F.lit("")), F.lit("")))
     year = F.coalesce(F.nullif(F.substring("publication_date", 1, 4), F.lit("")), F.lit("0000"))
-    from pyspark.sql import Window as W
-
     known = df.where(own.isNotNull()).withColumn("family_id", own)
-    lost = df.where(own.isNull()).withColumn("__year", year)
-    number = F.row_number().over(W.partitionBy("__year").orderBy("seq")) - 1
-    lost = lost.withColumn("family_id", F.concat(F.lit("UNKNOWN_FAM_"), number.cast("string"), F.lit("_"), F.col("__year"))).drop("__year")
+    lost = df.where(own.isNull()).withColumn("__year", year).withColumn("__stretch", F.floor(F.col("seq") / F.lit(STRETCH)))
+    sizes = lost.groupBy("__year", "__stretch").agg(F.count("*").alias("n"))
+    before = sizes.select("__year", "__stretch", (F.sum("n").over(W.partitionBy("__year").orderBy("__stretch")) - F.col("n")).alias("__before"))
+    rank = F.row_number().over(W.partitionBy("__year", "__stretch").orderBy("seq")) - 1
+    lost = lost.withColumn("__rank", rank).join(before, ["__year", "__stretch"])
+    number = (F.col("__before") + F.col("__rank")).cast("string")
+    lost = lost.withColumn("family_id", F.concat(F.lit("UNKNOWN_FAM_"), number, F.lit("_"), F.col("__year"))).select(*df.columns)
     return known.unionByName(lost)
 
 

@@ -69,6 +69,16 @@ def tier_counts(df: DataFrame) -> DataFrame:
     return dim.join(counts, "tier", "left").select("tier_ord", "tier", n.cast("long").alias("n_patents"), F.repeat(F.lit("█"), (n / 100).cast("int")).alias("bar"))
 
 
+def run_counts(df: DataFrame, review: Column) -> DataFrame:
+    """One row: ``n_records`` and ``n_review``, the records that somebody must look at."""
+    return df.agg(F.count("*").alias("n_records"), F.count_if(review).alias("n_review"))
+
+
+def heading(tier: str, n: int) -> str:
+    """The first cell of a section's heading row."""
+    return f"--- {tier.upper()} ({n} patents) ---"
+
+
 def sectioned(df: DataFrame, columns: list[str]) -> DataFrame:
     """The rows of every labelled tier below a heading row; rows of no tier are left out.
 

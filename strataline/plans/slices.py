@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -13,17 +14,14 @@ def time_slices(df: DataFrame, when: Column, cap: int) -> DataFrame:
     is a slice and marked. Rows are counted by day once; months and years add the days up.
     """
     days = df.select(F.to_date(when).alias("d")).where("d IS NOT NULL").groupBy("d").agg(F.count("*").alias("n"))
-    by_month = days.groupBy(F.trunc("d", "month").alias("m")).agg(F.sum("n").alias("n_month"))
-    by_year = by_month.groupBy(F.trunc("m", "year").alias("y")).agg(F.sum("n_month").alias("n_year"))
-    years = by_year.where(F.col("n_year") <= cap).select(
-        F.lit("year").alias("level"), F.col("y").alias("first_day"), F.last_day(F.add_months("y", 11)).alias("last_day"), F.col("n_year").alias("n")
-    )
-    big_years = by_year.where(F.col("n_year") > cap).select("y")
-    of_big = by_month.withColumn("y", F.trunc("m", "year")).join(big_years, "y")
-    months = of_big.where(F.col("n_month") <= cap).select(F.lit("month").alias("level"), F.col("m").alias("first_day"), F.last_day("m").alias("last_day"), F.col("n_month").alias("n"))
-    big_months = of_big.where(F.col("n_month") > cap).select("m")
-    single = days.withColumn("m", F.trunc("d", "month")).join(big_months, "m").select(F.lit("day").alias("level"), F.col("d").alias("first_day"), F.col("d").alias("last_day"), "n")
-    return years.unionByName(months).unionByName(single).withColumn("truncated", F.col("n") > cap)
+    # From here on a row is a day. One exchange by year serves both windows and the last aggregate.
+    days = days.withColumn("y", F.trunc("d", "year")).withColumn("m", F.trunc("d", "month")).repartition("y")
+    days = days.withColumn("n_year", F.sum("n").over(W.partitionBy("y"))).withColumn("n_month", F.sum("n").over(W.partitionBy("y", "m")))
+    level = F.when(F.col("n_year") <= cap, "year").when(F.col("n_month") <= cap, "month").otherwise("day")
+    days = days.withColumn("level", level).withColumn("first_day", F.when(F.col("level") == "year", F.col("y")).when(F.col("level") == "month", F.col("m")).otherwise(F.col("d")))
+    made = days.groupBy("y", "level", "first_day").agg(F.sum("n").alias("n"))
+    last = F.when(F.col("level") == "year", F.last_day(F.add_months("first_day", 11))).when(F.col("level") == "month", F.last_day("first_day")).otherwise(F.col("first_day"))
+    return made.select("level", "first_day", last.alias("last_day"), "n", (F.col("n") > cap).alias("truncated"))
 
 
 def pages(slices: DataFrame, page: int = 100, cap: int = 2000) -> DataFrame:

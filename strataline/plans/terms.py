@@ -26,9 +26,10 @@ def block_queries(spark: SparkSession, first: int, last: int, per_block: int = 2
     return years.select("year", "block", query.alias("query"))
 
 
-def single_queries(spark: SparkSession) -> DataFrame:
+def single_queries(spark: SparkSession, applicant: str | None = None) -> DataFrame:
     """``ord`` and ``query``: one independent query per code and term, each without the excluded classes."""
-    excluded = f" NOT ({' OR '.join(f'cpc="{c}"' for c in L.EXCLUDED_CODES)})".replace(" OR ", " OR ")
+    excluded = f" NOT ({' OR '.join(f'cpc={chr(34)}{c}{chr(34)}' for c in L.EXCLUDED_CODES)})"
     heads = [f'cpc=/low "{c}"' for c in L.SINGLE_LOW_CODES] + [f'ipc="{c}"' for c in L.SINGLE_IPC_CODES] + [f"ta={t}" for t in L.SINGLE_TERMS]
     rows = spark.createDataFrame(list(enumerate(heads)), "ord int, head string")
-    return rows.select("ord", F.concat(F.lit("("), "head", F.lit(f"{excluded})")).alias("query"))
+    tail = F.lit(f' AND pa="{applicant}"' if applicant else "")
+    return rows.select("ord", F.concat(F.lit("("), "head", F.lit(f"{excluded})"), tail).alias("query"))

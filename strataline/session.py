@@ -9,21 +9,9 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-#: A local file smaller than this is one row group as a rule, which one task would read and work through alone.
-SMALL_FILE = 64 << 20
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
-    """One of the Parquet tables below ``sf_dir``.
-
-    ``heavy`` marks a query whose work per row is large. Its rows are spread over all cores where
-    the table is one small local file; larger tables come in as many splits as they have.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    if heavy and os.path.isfile(path) and os.path.getsize(path) < SMALL_FILE:
-        return df.repartition(spark.sparkContext.defaultParallelism)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the Parquet tables below ``sf_dir``, in the splits that its files give."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

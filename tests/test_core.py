@@ -29,6 +29,8 @@ def test_companies(spark):
 
 def test_facts_count_once_and_skip_nulls(spark):
     rows = [(1, "f1", "20200101", "Foo Inc|FOO, INC."), (2, None, "20190101", "Foo"), (3, None, None, "Foo"), (4, "f2", "", None)]
+    made = organisations.facts(spark.createDataFrame(rows * 2, "seq long, family_id string, priority_date string, applicant string"))
+    assert made.count() == 6 and "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
     top = organisations.top(organisations.facts(spark.createDataFrame(rows, "seq long, family_id string, priority_date string, applicant string")), 5).collect()
     assert [(r.company, r.n_families, r.earliest) for r in top] == [("FOO", 2, "20190101")]
 
@@ -63,9 +65,9 @@ def test_families(spark):
     ids = spark.createDataFrame([("a", "1", "EP", 1), ("b", " 1", "US", 2), ("c", "1", "US", 3), ("d", "", "US", 4), ("d", None, "US", 5), ("e", "2", None, 6)], "id string, family_id string, country string, seq long")
     got = {(r.id, r.has_family, r.seq) for r in families.by_office(ids).collect()}
     assert got == {("b", True, 2), ("d", False, 4), ("e", True, 6)}
-    rows = [(1, "p", "", "2020"), (2, "", "", "2020"), (3, None, None, "2020"), (4, None, None, None), (5, "q", "7", None)]
+    rows = [(1, "p", "", "2020"), (2, "", "", "2020"), (3, None, None, "2020"), (4, None, None, None), (5, "q", "7", None), (300_001, "", "", "2020"), (300_002, None, None, "2020")]
     fixed = families.repaired_family(spark.createDataFrame(rows, "seq long, patent_id string, family_id string, publication_date string"))
-    assert {r.seq: r.family_id for r in fixed.collect()} == {1: "p", 2: "UNKNOWN_FAM_0_2020", 3: "UNKNOWN_FAM_1_2020", 4: "UNKNOWN_FAM_0_0000", 5: "7"}
+    assert {r.seq: r.family_id for r in fixed.collect()} == {1: "p", 2: "UNKNOWN_FAM_0_2020", 3: "UNKNOWN_FAM_1_2020", 4: "UNKNOWN_FAM_0_0000", 5: "7", 300_001: "UNKNOWN_FAM_2_2020", 300_002: "UNKNOWN_FAM_3_2020"}
     dup = spark.createDataFrame([(1, "f", "x"), (1, "f", "x"), (2, None, "y"), (3, None, "z")], "seq long, fam string, `__key` string")
     assert sorted((r.seq, r.fam) for r in families.first_per_key(dup, F.col("fam"), [F.col("seq")]).collect()) == [(1, "f"), (2, None)]
     assert families.first_per_key(dup.limit(0), F.col("fam"), [F.col("seq")]).count() == 0
@@ -75,6 +77,8 @@ def test_slices_and_pages(spark):
     days = ["2020-01-01"] * 5 + ["2020-02-01"] * 30 + ["2020-02-02"] * 3 + ["2021-07-01"] * 4
     df = spark.createDataFrame([(d,) for d in days] + [(None,)], "d string")
     made = slices.time_slices(df, F.col("d").cast("date"), 10)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("Scan ") == 1
     assert sorted((r.level, str(r.first_day), r.n, r.truncated) for r in made.collect()) == [("day", "2020-02-01", 30, True), ("day", "2020-02-02", 3, False), ("month", "2020-01-01", 5, False), ("year", "2021-01-01", 4, False)]
     pages = sorted((str(r.first_day), r.range_begin, r.range_end) for r in slices.pages(made, page=8, cap=20).collect())
     assert [p for p in pages if p[0] == "2020-02-01"] == [("2020-02-01", 1, 8), ("2020-02-01", 9, 16), ("2020-02-01", 17, 20)]
