@@ -3,18 +3,75 @@
 from __future__ import annotations
 
 # Terms of the block queries.
-BLOCK_TERMS = """siRNA*|RNAi*|dsRNA*|si-RNA*|ds-RNA*|iRNA*|"RNA interference"|"RNA-interference"|"interfering RNA"|"small interfering RNA"|"small interfering RNAs"
-"short interfering RNA"|"short interfering RNAs"|"small-interfering RNA"|"short-interfering RNA"|"double-stranded RNA"|"double stranded RNA"|"double-stranded RNAs"
-"double stranded RNAs"|"RNA duplex"|"RNA duplexes"|"small interfering ribonucleic acid"|"small-interfering ribonucleic acid"|"short interfering ribonucleic acid"
-"short-interfering ribonucleic acid"|"double-stranded ribonucleic acid"|"double stranded ribonucleic acid"|"ribonucleic acid interference"|"interfering ribonucleic acid"
-"small interfering ribonucleic acids"|"small-interfering ribonucleic acids"|"short interfering ribonucleic acids"|"short-interfering ribonucleic acids"
-"double-stranded ribonucleic acids"|"double stranded ribonucleic acids"|"interfering ribonucleic acids\"""".replace("\n", "|").split("|")
+BLOCK_TERMS = [
+    "siRNA*",
+    "RNAi*",
+    "dsRNA*",
+    "si-RNA*",
+    "ds-RNA*",
+    "iRNA*",
+    '"RNA interference"',
+    '"RNA-interference"',
+    '"interfering RNA"',
+    '"small interfering RNA"',
+    '"small interfering RNAs"',
+    '"short interfering RNA"',
+    '"short interfering RNAs"',
+    '"small-interfering RNA"',
+    '"short-interfering RNA"',
+    '"double-stranded RNA"',
+    '"double stranded RNA"',
+    '"double-stranded RNAs"',
+    '"double stranded RNAs"',
+    '"RNA duplex"',
+    '"RNA duplexes"',
+    '"small interfering ribonucleic acid"',
+    '"small-interfering ribonucleic acid"',
+    '"short interfering ribonucleic acid"',
+    '"short-interfering ribonucleic acid"',
+    '"double-stranded ribonucleic acid"',
+    '"double stranded ribonucleic acid"',
+    '"ribonucleic acid interference"',
+    '"interfering ribonucleic acid"',
+    '"small interfering ribonucleic acids"',
+    '"small-interfering ribonucleic acids"',
+    '"short interfering ribonucleic acids"',
+    '"short-interfering ribonucleic acids"',
+    '"double-stranded ribonucleic acids"',
+    '"double stranded ribonucleic acids"',
+    '"interfering ribonucleic acids"',
+]
 BLOCK_CODES = ("C12N15/113", "A61K31/713")
 # Terms, codes and exclusions of the independent queries.
-SINGLE_TERMS = """siRNA*|RNAi*|dsRNA*|iRNA*|dsRNAi*|oligonucleotide*|"si-RNA"|"ds RNA"|"RNA interference"|"interfering RNA"|"small interfering RNA"|"small interfering RNAs"
-"short interfering RNAs"|"short interfering RNA"|"double stranded RNA"|"double stranded RNAs"|"RNA duplex"|"RNA duplexes"|"small interfering ribonucleic acid"
-"small interfering ribonucleic acids"|"short interfering ribonucleic acid"|"short interfering ribonucleic acids"|"double stranded ribonucleic acid"
-"double stranded ribonucleic acids"|"ribonucleic acid interference"|"interfering ribonucleic acid"|"interfering ribonucleic acids\"""".replace("\n", "|").split("|")
+SINGLE_TERMS = [
+    "siRNA*",
+    "RNAi*",
+    "dsRNA*",
+    "iRNA*",
+    "dsRNAi*",
+    "oligonucleotide*",
+    '"si-RNA"',
+    '"ds RNA"',
+    '"RNA interference"',
+    '"interfering RNA"',
+    '"small interfering RNA"',
+    '"small interfering RNAs"',
+    '"short interfering RNAs"',
+    '"short interfering RNA"',
+    '"double stranded RNA"',
+    '"double stranded RNAs"',
+    '"RNA duplex"',
+    '"RNA duplexes"',
+    '"small interfering ribonucleic acid"',
+    '"small interfering ribonucleic acids"',
+    '"short interfering ribonucleic acid"',
+    '"short interfering ribonucleic acids"',
+    '"double stranded ribonucleic acid"',
+    '"double stranded ribonucleic acids"',
+    '"ribonucleic acid interference"',
+    '"interfering ribonucleic acid"',
+    '"interfering ribonucleic acids"',
+]
 SINGLE_LOW_CODES = ("C12N15/11", "A61K31/7088")
 SINGLE_IPC_CODES = ("C12N15/113", "A61K31/713", "C12N15/11", "A61K31/7088")
 EXCLUDED_CODES = ("C12N15/115", "C12N15/117")
@@ -58,26 +115,110 @@ NO_TITLE = "No title"
 # Words of a legal form, deleted wherever they stand in a name.
 LEGAL_WORDS = "INC|INCORPORATED|CORP|CORPORATION|L L C|LLC|LTD|LIMITED|CO|COMPANY|GMBH|SA|PLC|NV|A/S|AG|PTY|PTE|AND"
 # Persons that aren't organisations, found anywhere in a normalised name.
-PERSONS = """IWAMOTO NAOKI|LIU WEI|LUU KHOA|MARAPPAN|VARGEESE|OWEN ADRIANA|YANG HSIU|LAMATTINA|BYRNE|SINGH KULDEEP|SHAH HIMALI|KAWAMOTO|GHOSH|HAEGELE|HU YANBIN|HE HUIJUN
-LU JIANYU|HE HAIYING|CHEN SHUHUI|GLEBOCKA|KLOSSOWSKI|SHUVAEV|DESAI JIGAR|PRAKASHA PRIYANKA|LONGO KENNETH|DESAI|LONGO|PRAKASHA|PEI TAO|BLOKHIN ANDREI|CHEN JING
-ENDEAN THOMAS|BENSON JONATHAN|KANDASAMY|LU GENLIANG|KUMARASAMY|CHATTERJEE""".replace("\n", "|").split("|")
+PERSONS = [
+    "IWAMOTO NAOKI",
+    "LIU WEI",
+    "LUU KHOA",
+    "MARAPPAN",
+    "VARGEESE",
+    "OWEN ADRIANA",
+    "YANG HSIU",
+    "LAMATTINA",
+    "BYRNE",
+    "SINGH KULDEEP",
+    "SHAH HIMALI",
+    "KAWAMOTO",
+    "GHOSH",
+    "HAEGELE",
+    "HU YANBIN",
+    "HE HUIJUN",
+    "LU JIANYU",
+    "HE HAIYING",
+    "CHEN SHUHUI",
+    "GLEBOCKA",
+    "KLOSSOWSKI",
+    "SHUVAEV",
+    "DESAI JIGAR",
+    "PRAKASHA PRIYANKA",
+    "LONGO KENNETH",
+    "DESAI",
+    "LONGO",
+    "PRAKASHA",
+    "PEI TAO",
+    "BLOKHIN ANDREI",
+    "CHEN JING",
+    "ENDEAN THOMAS",
+    "BENSON JONATHAN",
+    "KANDASAMY",
+    "LU GENLIANG",
+    "KUMARASAMY",
+    "CHATTERJEE",
+]
 # Parts of a normalised name and the organisation they stand for; the first that is found decides.
 ORGANISATIONS = [
-    tuple(line.split("="))
-    for line in """WISCONSIN=MEDICAL COLLEGE OF WISCONSIN|MASSACHUSETTS=UNIVERSITY OF MASSACHUSETTS|BRITISH COLUMBIA=UNIVERSITY OF BRITISH COLUMBIA|PEKING=PEKING UNIVERSITY
-BEIJING=PEKING UNIVERSITY|ANTWERP=UNIVERSITY OF ANTWERP|LIEGE=UNIVERSITY OF LIEGE|VIRGINIA=UNIVERSITY OF VIRGINIA|TEXAS=UNIVERSITY OF TEXAS|TORONTO=UNIVERSITY OF TORONTO
-CALIFORNIA=UNIVERSITY OF CALIFORNIA|FLORIDA=UNIVERSITY OF FLORIDA|JOHNS HOPKINS=JOHNS HOPKINS UNIVERSITY|TOKYO MEDICAL=TOKYO MEDICAL UNIVERSITY|KOBE=KOBE UNIVERSITY
-DALIAN MINZU=DALIAN MINZU UNIVERSITY|XUZHOU=XUZHOU MEDICAL UNIVERSITY|DANA FARBER=DANA FARBER CANCER INSTITUTE|KOREA INST=KOREA INSTITUTE OF SCIENCE AND TECHNOLOGY
-SUNGKYUNKWAN=SUNGKYUNKWAN UNIVERSITY|DELAWARE=DELAWARE STATE UNIVERSITY|DELFT=DELFT UNIVERSITY OF TECHNOLOGY|ULSAN=ULSAN NATIONAL INSTITUTE OF SCIENCE AND TECHNOLOGY
-TOKAI=TOKAI NATIONAL HIGHER EDUCATION AND RESEARCH SYSTEM|UNIVERSITY NANTONG=NANTONG UNIVERSITY|UNIVERSITY NORTHWESTERN POLYTECHNICAL=NORTHWESTERN POLYTECHNICAL UNIVERSITY
-UNIVERSITY XIAMEN=XIAMEN UNIVERSITY|UNIVERSITY HEBEI TECHNOLOGY=HEBEI UNIVERSITY OF TECHNOLOGY|UNIVERSITY EAST CHINA NORMAL=EAST CHINA NORMAL UNIVERSITY
-UNIVERSITY NANJING AGRICULTURAL=NANJING AGRICULTURAL UNIVERSITY|UNIVERSITY SOUTH CHINA AGRICULT=SOUTH CHINA AGRICULTURAL UNIVERSITY|UNIVERSITY KYOTO=KYOTO UNIVERSITY
-CARDIOLOGIE DE MONTREAL=MONTREAL HEART INSTITUTE|NATIONWIDE CHILDREN=NATIONWIDE CHILDRENS HOSPITAL|CHILDRENS MEDICAL=CHILDRENS HOSPITAL MEDICAL CENTER
-CHILDRENS HOSPITAL MED=CHILDRENS HOSPITAL MEDICAL CENTER|GENOME RES=GENOME RESEARCH|CMS RES=CMS RESEARCH & DEVELOPMENT|LILLY=ELI LILLY|EXORNA=EXORNA BIOSCIENCE
-RONA=RONA THERAPEUTICS|BISIRNA=BISIRNA THERAPEUTICS|JENKEM=JENKEM TECHNOLOGY|QILU=QILU PHARMACEUTICAL|ANSHUN=SHANDONG ANSHUN PHARMACEUTICAL
-CHIA TAI=CHIA TAI TIANQING PHARMACEUTICAL GROUP|ALNYLAM=ALNYLAM PHARMACEUTICALS|ARROWHEAD=ARROWHEAD PHARMACEUTICALS|SUZHOU RIBO=SUZHOU RIBO LIFE SCIENCE
-RIBO LIFE SCIENCE=SUZHOU RIBO LIFE SCIENCE|DYNE=DYNE THERAPEUTICS|TUOJIE=TUOJIE BIOTECH SHANGHAI|BEBETTER=BEBETTER MED|YINGTE=YINGTE MED TECH
-TAKEDA=TAKEDA PHARMACEUTICALS|JANSSEN=JANSSEN PHARMACEUTICALS|MPEG LA=MPEG LA|SRINA=SIRNA THERAPEUTICS|SIRNA THERAPEUTICS=SIRNA THERAPEUTICS
-REGENERON=REGENERON PHARMACEUTICALS|HANSOH=HANSOH PHARMACEUTICAL|NOVO NORDISK=NOVO NORDISK|OLIX=OLIX PHARMACEUTICALS
-FRANCAISE CONTRE LES MYOPATHIES=ASSOCIATION FRANCAISE CONTRE LES MYOPATHIES|HUMANWELL=HUMANWELL HEALTHCARE GROUP""".replace("\n", "|").split("|")
+    ("WISCONSIN", "MEDICAL COLLEGE OF WISCONSIN"),
+    ("MASSACHUSETTS", "UNIVERSITY OF MASSACHUSETTS"),
+    ("BRITISH COLUMBIA", "UNIVERSITY OF BRITISH COLUMBIA"),
+    ("PEKING", "PEKING UNIVERSITY"),
+    ("BEIJING", "PEKING UNIVERSITY"),
+    ("ANTWERP", "UNIVERSITY OF ANTWERP"),
+    ("LIEGE", "UNIVERSITY OF LIEGE"),
+    ("VIRGINIA", "UNIVERSITY OF VIRGINIA"),
+    ("TEXAS", "UNIVERSITY OF TEXAS"),
+    ("TORONTO", "UNIVERSITY OF TORONTO"),
+    ("CALIFORNIA", "UNIVERSITY OF CALIFORNIA"),
+    ("FLORIDA", "UNIVERSITY OF FLORIDA"),
+    ("JOHNS HOPKINS", "JOHNS HOPKINS UNIVERSITY"),
+    ("TOKYO MEDICAL", "TOKYO MEDICAL UNIVERSITY"),
+    ("KOBE", "KOBE UNIVERSITY"),
+    ("DALIAN MINZU", "DALIAN MINZU UNIVERSITY"),
+    ("XUZHOU", "XUZHOU MEDICAL UNIVERSITY"),
+    ("DANA FARBER", "DANA FARBER CANCER INSTITUTE"),
+    ("KOREA INST", "KOREA INSTITUTE OF SCIENCE AND TECHNOLOGY"),
+    ("SUNGKYUNKWAN", "SUNGKYUNKWAN UNIVERSITY"),
+    ("DELAWARE", "DELAWARE STATE UNIVERSITY"),
+    ("DELFT", "DELFT UNIVERSITY OF TECHNOLOGY"),
+    ("ULSAN", "ULSAN NATIONAL INSTITUTE OF SCIENCE AND TECHNOLOGY"),
+    ("TOKAI", "TOKAI NATIONAL HIGHER EDUCATION AND RESEARCH SYSTEM"),
+    ("UNIVERSITY NANTONG", "NANTONG UNIVERSITY"),
+    ("UNIVERSITY NORTHWESTERN POLYTECHNICAL", "NORTHWESTERN POLYTECHNICAL UNIVERSITY"),
+    ("UNIVERSITY XIAMEN", "XIAMEN UNIVERSITY"),
+    ("UNIVERSITY HEBEI TECHNOLOGY", "HEBEI UNIVERSITY OF TECHNOLOGY"),
+    ("UNIVERSITY EAST CHINA NORMAL", "EAST CHINA NORMAL UNIVERSITY"),
+    ("UNIVERSITY NANJING AGRICULTURAL", "NANJING AGRICULTURAL UNIVERSITY"),
+    ("UNIVERSITY SOUTH CHINA AGRICULT", "SOUTH CHINA AGRICULTURAL UNIVERSITY"),
+    ("UNIVERSITY KYOTO", "KYOTO UNIVERSITY"),
+    ("CARDIOLOGIE DE MONTREAL", "MONTREAL HEART INSTITUTE"),
+    ("NATIONWIDE CHILDREN", "NATIONWIDE CHILDRENS HOSPITAL"),
+    ("CHILDRENS MEDICAL", "CHILDRENS HOSPITAL MEDICAL CENTER"),
+    ("CHILDRENS HOSPITAL MED", "CHILDRENS HOSPITAL MEDICAL CENTER"),
+    ("GENOME RES", "GENOME RESEARCH"),
+    ("CMS RES", "CMS RESEARCH & DEVELOPMENT"),
+    ("LILLY", "ELI LILLY"),
+    ("EXORNA", "EXORNA BIOSCIENCE"),
+    ("RONA", "RONA THERAPEUTICS"),
+    ("BISIRNA", "BISIRNA THERAPEUTICS"),
+    ("JENKEM", "JENKEM TECHNOLOGY"),
+    ("QILU", "QILU PHARMACEUTICAL"),
+    ("ANSHUN", "SHANDONG ANSHUN PHARMACEUTICAL"),
+    ("CHIA TAI", "CHIA TAI TIANQING PHARMACEUTICAL GROUP"),
+    ("ALNYLAM", "ALNYLAM PHARMACEUTICALS"),
+    ("ARROWHEAD", "ARROWHEAD PHARMACEUTICALS"),
+    ("SUZHOU RIBO", "SUZHOU RIBO LIFE SCIENCE"),
+    ("RIBO LIFE SCIENCE", "SUZHOU RIBO LIFE SCIENCE"),
+    ("DYNE", "DYNE THERAPEUTICS"),
+    ("TUOJIE", "TUOJIE BIOTECH SHANGHAI"),
+    ("BEBETTER", "BEBETTER MED"),
+    ("YINGTE", "YINGTE MED TECH"),
+    ("TAKEDA", "TAKEDA PHARMACEUTICALS"),
+    ("JANSSEN", "JANSSEN PHARMACEUTICALS"),
+    ("MPEG LA", "MPEG LA"),
+    ("SRINA", "SIRNA THERAPEUTICS"),
+    ("SIRNA THERAPEUTICS", "SIRNA THERAPEUTICS"),
+    ("REGENERON", "REGENERON PHARMACEUTICALS"),
+    ("HANSOH", "HANSOH PHARMACEUTICAL"),
+    ("NOVO NORDISK", "NOVO NORDISK"),
+    ("OLIX", "OLIX PHARMACEUTICALS"),
+    ("FRANCAISE CONTRE LES MYOPATHIES", "ASSOCIATION FRANCAISE CONTRE LES MYOPATHIES"),
+    ("HUMANWELL", "HUMANWELL HEALTHCARE GROUP"),
 ]

@@ -18,6 +18,7 @@ from strataline.operators import analytics, biblio, families, organisations, rul
 from strataline.operators.nested import link, node_tables
 from strataline.operators.packed import explode_packed
 from strataline.plans import slices, terms
+from strataline.sources import remote
 from strataline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,9 +67,11 @@ def entity_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def canonical_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names that end in a listed organisation's key, and what they are unified to."""
-    rows = spark.createDataFrame([(i, f"{key} X") for i, (key, _) in enumerate(L.ORGANISATIONS)], "ord int, name string")
-    return rows.select("ord", "name", organisations.unified(F.col("name")).alias("company"))
+    """Every different normalised applicant, beside names that hold a listed organisation's key, and what it is unified to."""
+    parts = _patents(spark, sf_dir).where("applicant IS NOT NULL").select(F.explode(F.split("applicant", r"\|")).alias("part")).distinct()
+    names = parts.select(organisations.normalised(F.col("part")).alias("name")).distinct()
+    keys = spark.createDataFrame([(f"THE {key} X",) for key, _ in L.ORGANISATIONS], "name string")
+    return names.unionByName(keys).select("name", organisations.unified(F.col("name")).alias("company"))
 
 
 def explode_applicants(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,6 +110,27 @@ def sectioned_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.sectioned(rules.classified(_patents(spark, sf_dir)), ["patent_id", "title", "family_id"])
 
 
+def tier_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of records made of the documents by rule, so that every combination of signals occurs."""
+    d, pick = F.col("doc_id"), lambda c, text: F.when(c, text).otherwise("")
+    bit = lambda b: F.col("doc_id").bitwiseAND(F.lit(b)) != 0
+    marks = [pick(bit(1), "siRNA "), pick(bit(4), "CRISPR "), pick(bit(8), "maize "), pick(bit(16), "biomarker "), pick(d % 5 == 0, "siRNAs "), pick(d % 5 == 1, "mRNA vaccine "), pick(d % 5 == 2, "treatment "), pick(d % 5 == 3, "tomato cell ")]
+    body = F.concat(F.lit("<p>"), *marks, F.lit(" [0001] "), F.coalesce("text", F.lit("")), F.lit("</p>"))
+    made = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.when(d % 17 != 0, F.substring("text", 1, 60)).alias("title"),
+        F.when(d % 11 == 0, L.NO_ABSTRACT).when(d % 19 == 0, "").otherwise(body).alias("abstract"),
+        F.when(bit(2), "A61K31/713, C12N15/1135").otherwise("A61K31/713").alias("cpcs"),
+        F.lit("A61K31/713").alias("ipcs"),
+    )
+    return rules.classified(made).select("doc_id", "has_text", "has_anchor", "has_forbidden", "has_agri", "has_diag", "tier")
+
+
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records, and those that somebody must look at."""
+    return rules.run_counts(_patents(spark, sf_dir), T.needs_review(F.col("title"), F.col("abstract")))
+
+
 def needs_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality flags of every record."""
     title, abstract = F.col("title"), F.col("abstract")
@@ -182,6 +206,18 @@ def abstract_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return biblio.with_second_chance(flat, _patents(spark, sf_dir).select("patent_id", "abstract"))
 
 
+def first_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat rows with the codes of the older run."""
+    return biblio.flattened(table(spark, sf_dir, "exchange_documents"), first_form=True).select("rec_id", "doc_no", "patent_id", "title", "applicant", "cpcs")
+
+
+def detail_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of all ids, fetched in batches from a service that refuses ids without kind."""
+    ids = table(spark, sf_dir, "id_records").select(F.when(F.col("seq") % 7 == 0, F.regexp_replace("id", r"\.[^.]*$", "")).otherwise(F.col("id")).alias("id"))
+    found = remote.records(ids, "id", {"transport": "echo", "parallel": str(spark.sparkContext.defaultParallelism)})
+    return biblio.flattened(found.where("body IS NOT NULL"), "first_id", "body").select("country", "number", "kind", "patent_id")
+
+
 def term_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search terms in the source's language."""
     sample = [*dict.fromkeys([*L.BLOCK_TERMS, *L.SINGLE_TERMS]), "gene silencing therapy", "two  words"]
@@ -198,6 +234,11 @@ def query_compile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return terms.single_queries(spark)
 
 
+def query_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Independent queries for one applicant as they stand in an address."""
+    return terms.single_queries(spark, "Foo & Bar").select("ord", T.url_quote(F.col("query")).alias("encoded"))
+
+
 def time_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slices of the events within a cap of two hundred."""
     return slices.time_slices(table(spark, sf_dir, "events"), F.col("ts"), 200)
@@ -260,7 +301,7 @@ def office_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (
     p3_found, p4_found, p4_names, top_applicants, entity_normalise, canonical_map, explode_applicants, timeline, timeline_orders, tier_classify, tier_summary,
-    tier_compat_drop, sectioned_output, needs_review, non_ascii_documents, good_text_dedup, family_by_country, orders_by_priority, blank_family_repair,
+    tier_compat_drop, sectioned_output, tier_view, run_counts, first_flatten, detail_fetch, query_urls, needs_review, non_ascii_documents, good_text_dedup, family_by_country, orders_by_priority, blank_family_repair,
     earliest_publication, clean_text, accent_fold, json_extract, biblio_flatten, abstract_fallback, term_format, query_blocks, query_compile, time_slices,
     time_slices_orders, page_plan, id_dedup, dedup_savings, events_distinct, topn_generic, group_distinct, quota_status, office_order,
 )

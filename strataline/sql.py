@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from strataline import lexicons as L
 
 _TEXT_BLANKS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -21,7 +23,16 @@ def _found(pattern: str) -> str:
 
 
 _AGRI_RE2 = tuple(p.split("(?!")[0] for p in L.AGRI)
-_TIER = f"""WITH s AS (SELECT *, {_SEARCH} AS t FROM patents_raw),
+#: Records made of the documents by rule.
+_VIEW = f"""(SELECT doc_id, CASE WHEN doc_id % 17 <> 0 THEN substr(text, 1, 60) END AS title,
+ CASE WHEN doc_id % 11 = 0 THEN '{L.NO_ABSTRACT}' WHEN doc_id % 19 = 0 THEN '' ELSE '<p>' || CASE WHEN doc_id & 1 THEN 'siRNA ' ELSE '' END || CASE WHEN doc_id & 4 THEN 'CRISPR ' ELSE '' END
+ || CASE WHEN doc_id & 8 THEN 'maize ' ELSE '' END || CASE WHEN doc_id & 16 THEN 'biomarker ' ELSE '' END
+ || CASE doc_id % 5 WHEN 0 THEN 'siRNAs ' WHEN 1 THEN 'mRNA vaccine ' WHEN 2 THEN 'treatment ' WHEN 3 THEN 'tomato cell ' ELSE '' END || ' [0001] ' || coalesce(text, '') || '</p>' END AS abstract,
+ CASE WHEN doc_id & 2 THEN 'A61K31/713, C12N15/1135' ELSE 'A61K31/713' END AS cpcs, 'A61K31/713' AS ipcs FROM documents)"""
+
+
+def _tier(source: str) -> str:
+    return f"""WITH s AS (SELECT *, {_SEARCH} AS t FROM {source} r),
 c AS (SELECT *, {_found('|'.join(L.SIGNAL))} AS has_text,
  (coalesce(cpcs,'') LIKE '%{L.ANCHOR}%' OR coalesce(ipcs,'') LIKE '%{L.ANCHOR}%') AS has_anchor,
  {_found(_words(L.FORBIDDEN))} AS has_forbidden,
@@ -37,6 +48,9 @@ tiers AS (SELECT *, CASE
  WHEN NOT has_text AND NOT has_anchor AND NOT has_agri THEN '{L.TIERS[6]}'
  WHEN has_agri AND NOT has_anchor THEN '{L.TIERS[7]}' ELSE '{L.UNCLASSIFIED}' END AS tier FROM c)"""
 
+
+_TIER = _tier("patents_raw")
+
 _UPPER = "upper(replace(replace(replace(replace({0}, 'ß', 'SS'), 'ﬁ', 'FI'), 'ﬂ', 'FL'), 'ﬀ', 'FF'))"
 
 
@@ -91,6 +105,45 @@ SELECT n.rec_id AS rec_id, CAST(d.no AS INTEGER) AS doc_no, n.node AS node, CAST
 FROM n JOIN n d ON d.node = 'document' AND d.rec_id = n.rec_id AND d.path = n.doc LEFT JOIN n a ON n.node = 'name' AND a.node = 'applicant' AND a.rec_id = n.rec_id AND a.path = n.app"""
 
 
+def _flat(first_form: bool) -> str:
+    """One row per exchange document, by JSON paths; keys lose their prefix first."""
+    many = lambda x: f"CASE json_type({x}) WHEN 'ARRAY' THEN list_filter(CAST({x} AS JSON[]), lambda e: json_type(e) <> 'NULL') WHEN 'NULL' THEN [] ELSE CASE WHEN {x} IS NULL THEN [] ELSE [{x}] END END"
+    value = lambda x: f"coalesce(json_extract_string({x}, '$.\"$\"'), CASE WHEN json_type({x}) IN ('OBJECT', 'ARRAY', 'NULL') THEN NULL ELSE json_extract_string({x}, '$') END, '')"
+    field = lambda x, n: f"coalesce(json_extract_string({x}, '$.\"{n}\".\"$\"'), CASE WHEN json_type(json_extract({x}, '$.\"{n}\"')) IN ('OBJECT', 'NULL') THEN NULL ELSE json_extract_string({x}, '$.\"{n}\"') END, '')"
+    english = lambda xs, f: f"coalesce(nullif(list_transform(list_filter({xs}, lambda e: lower(json_extract_string(e, '$.\"@lang\"')) = 'en'), lambda e: {f('e')})[1], ''), list_transform({xs}, lambda e: {f('e')})[1])"
+    docdb = lambda xs: f"list_filter({xs}, lambda e: json_extract_string(e, '$.\"@document-id-type\"') = 'docdb')"
+    paragraphs = lambda a: f"CASE WHEN json_extract({a}, '$.p') IS NULL THEN {value(a)} ELSE array_to_string(list_filter(list_transform({many(f"json_extract({a}, '$.p')")}, lambda q: {value('q')}), lambda t: t <> ''), ' ') END"
+    names = lambda a: many(f"(json_extract({a}, '$.\"applicant-name\".name'))")
+    ids = "json_extract(c, '$.\"document-id\"')"
+    code = "concat(" + ", ".join([*[field("e", n) for n in ("section", "class", "subclass", "main-group")], "'/'", field("e", "subgroup")]) + ")"
+    trimmed = code if first_form else f"trim({code}, '/')"
+    scheme = "upper(coalesce(json_extract_string(e, '$.\"classification-scheme\".\"@scheme\"'), json_extract_string(e, '$.\"classification-scheme\"'), ''))"
+    kept = {
+        "cpcs": "true" if first_form else f"{scheme} LIKE '%CPC%' OR {scheme} NOT LIKE '%IPC%'",
+        "ipcs": "false" if first_form else f"{scheme} NOT LIKE '%CPC%'",
+    }
+    codes = ", ".join(f"coalesce(array_to_string(list_sort(list_distinct(list_filter(list_transform(list_filter(classes, lambda e: {own}), lambda e: {trimmed}), lambda c: length(c) > 2))), ', '), '') AS {name}" for name, own in kept.items())
+    clean = rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(abstract, '<[^>]+>', '', 'g'), '[\n\r\t]', ' ', 'g'), '\[[0-9]{{4}}\]', '', 'g'), '{_TEXT_BLANKS}+', ' ', 'g')"
+    return f"""b AS (SELECT rec_id, CAST(replace(body, '"ops:', '"') AS JSON) AS body FROM exchange_documents WHERE json_valid(body)),
+ds AS (SELECT rec_id, {many("(json_extract(body, '$.\"world-patent-data\".\"exchange-documents\".\"exchange-document\"'))")} AS docs FROM b),
+dd AS (SELECT rec_id, unnest(docs) AS d, generate_subscripts(docs, 1) AS doc_no FROM ds),
+l AS (SELECT rec_id, CAST(doc_no AS INTEGER) AS doc_no, coalesce(json_extract_string(d, '$.\"@family-id\"'), '') AS family_id,
+ {many("(json_extract(d, '$.\"bibliographic-data\".\"invention-title\"'))")} AS titles, {many("(json_extract(d, '$.abstract'))")} AS abstracts,
+ {many("(json_extract(d, '$.\"bibliographic-data\".parties.applicants.applicant'))")} AS applicants,
+ {many("(json_extract(d, '$.\"bibliographic-data\".\"publication-reference\".\"document-id\"'))")} AS ids,
+ {many("(json_extract(d, '$.\"bibliographic-data\".\"priority-claims\".\"priority-claim\"'))")} AS claims,
+ {many("(json_extract(d, '$.\"bibliographic-data\".\"patent-classifications\".\"patent-classification\"'))")} AS classes FROM dd),
+p AS (SELECT *, coalesce(nullif({english('titles', value)}, ''), '{L.NO_TITLE}') AS title, {english('abstracts', paragraphs)} AS abstract,
+ coalesce(array_to_string(list_filter(list_transform(applicants, lambda a: coalesce({english(names('a'), value)}, '')), lambda t: t <> ''), ' | '), '') AS applicant,
+ {docdb('ids')}[-1] AS id,
+ list_min(list_filter(list_transform({docdb(f"flatten(list_transform(claims, lambda c: {many(ids)}))")}, lambda e: {field('e', 'date')}), lambda t: t <> '')) AS priority,
+ {codes} FROM l),
+q AS (SELECT *, CASE WHEN id IS NULL THEN '' ELSE {field('id', 'country')} END AS country, replace(CASE WHEN id IS NULL THEN '' ELSE {field('id', 'doc-number')} END, '.', '') AS number,
+ CASE WHEN id IS NULL THEN '' ELSE {field('id', 'kind')} END AS kind, CASE WHEN id IS NULL THEN '' ELSE {field('id', 'date')} END AS publication_date FROM p),
+flat AS (SELECT rec_id, doc_no, country || number || kind AS patent_id, country, number, kind, family_id, coalesce(priority, publication_date) AS priority_date, publication_date, applicant, title,
+ coalesce(nullif(trim({clean}), ''), '{L.NO_ABSTRACT}') AS abstract, ipcs, cpcs FROM q)"""
+
+
 def _text_values(rows: list[tuple]) -> str:
     q = lambda v: "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + v.replace("'", "''") + "'"
     return ", ".join("(" + ", ".join(map(q, r)) + ")" for r in rows)
@@ -115,7 +168,8 @@ def oracle_sql() -> dict[str, str]:
         "top_applicants": f"""{_FACTS} SELECT company, count(DISTINCT coalesce(family_id,'nan')) AS n_families, min(nullif(priority_date,'')) AS earliest
  FROM facts GROUP BY company ORDER BY n_families DESC, company LIMIT 100""",
         "entity_normalise": f"SELECT DISTINCT part, {_normalised('part')} AS name FROM (SELECT unnest(string_split(applicant,'|')) AS part FROM patents_raw WHERE applicant IS NOT NULL)",
-        "canonical_map": f"SELECT ord, name, {_unified('name')} AS company FROM (VALUES {_text_values([(i, k + ' X') for i, (k, _) in enumerate(L.ORGANISATIONS)])}) v(ord, name)",
+        "canonical_map": f"""WITH n AS (SELECT DISTINCT {_normalised('part')} AS name FROM (SELECT DISTINCT unnest(string_split(applicant, '|')) AS part FROM patents_raw WHERE applicant IS NOT NULL)
+ UNION ALL SELECT * FROM (VALUES {_text_values([(f'THE {k} X',) for k, _ in L.ORGANISATIONS])}) v(name)) SELECT name, {_unified('name')} AS company FROM n""",
         "explode_applicants": f"{_FACTS} SELECT seq, family_id, company, priority_date FROM facts",
         "timeline": """WITH f AS (SELECT *, row_number() OVER (PARTITION BY family_id ORDER BY seq) AS rn FROM patents_raw),
 y AS (SELECT coalesce(nullif(substr(priority_date,1,4),''), substr(publication_date,1,4)) AS y FROM f WHERE rn = 1)
@@ -129,6 +183,8 @@ SELECT tier_ord, dim.tier AS tier, coalesce(n, 0) AS n_patents, repeat('█', CA
         "sectioned_output": f"""{_TIER}, r AS (SELECT *, {order} AS tier_ord FROM tiers WHERE tier <> '{L.UNCLASSIFIED}')
 SELECT tier_ord, 1 AS is_row, seq, patent_id, title, family_id FROM r
 UNION ALL SELECT tier_ord, 0, 0, '--- ' || upper(tier) || ' (' || count(*) || ' patents) ---', '', '' FROM r GROUP BY tier_ord, tier""",
+        "tier_view": f"""{_tier(_VIEW)} SELECT doc_id, has_text, has_anchor, has_forbidden, has_agri, has_diag, tier FROM tiers""",
+        "run_counts": rf"""SELECT count(*) AS n_records, count(*) FILTER ({_NO_ABSTRACT} AND regexp_matches(coalesce(title,''), '[^\x00-\x7F]')) AS n_review FROM patents_raw""",
         "needs_review": rf"""WITH f AS (SELECT seq, {_NO_ABSTRACT} AS lacks_abstract, regexp_matches(coalesce(title,''), '[^\x00-\x7F]') AS non_ascii,
  contains(lower(coalesce(abstract,'')), 'no abstract available') AS says FROM patents_raw)
 SELECT seq, lacks_abstract, non_ascii, NOT (says OR non_ascii) AS good, (lacks_abstract AND non_ascii) AS review FROM f""",
@@ -149,6 +205,13 @@ SELECT seq, family_id, publication_date, CASE WHEN regexp_matches(coalesce(title
         "clean_text": rf"""SELECT seq, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(abstract, '<[^>]+>', '', 'g'), '[\n\r\t]', ' ', 'g'), '\[[0-9]{{4}}\]', '', 'g'), '{_TEXT_BLANKS}+', ' ', 'g')) AS abstract FROM patents_raw""",
         "accent_fold": r"SELECT doc_id, regexp_replace(strip_accents(coalesce(text,'')), '[^\x00-\x7F]', '', 'g') AS folded FROM documents",
         "json_extract": "SELECT event_type, CAST(sum(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS total, count(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)) AS n FROM events GROUP BY 1",
+        "biblio_flatten": f"WITH {_flat(False)} SELECT * FROM flat",
+        "first_flatten": f"WITH {_flat(True)} SELECT rec_id, doc_no, patent_id, title, applicant, cpcs FROM flat",
+        "abstract_fallback": f"""WITH {_flat(False)}, o AS (SELECT patent_id, min(abstract) AS other FROM patents_raw WHERE abstract <> '{L.NO_ABSTRACT}' GROUP BY patent_id)
+SELECT flat.* REPLACE (coalesce(nullif(nullif(abstract, '{L.NO_ABSTRACT}'), ''), other, '{L.NO_ABSTRACT}') AS abstract) FROM flat LEFT JOIN o USING (patent_id)""",
+        "detail_fetch": r"""WITH i AS (SELECT DISTINCT CASE WHEN seq % 7 = 0 THEN regexp_replace(id, '\.[^.]*$', '') ELSE id END AS id FROM id_records WHERE id IS NOT NULL), p AS (SELECT string_split(id, '.') AS p FROM i)
+SELECT p[1] AS country, p[2] AS number, p[3] AS kind, p[1] || p[2] || p[3] AS patent_id FROM p WHERE len(p) = 3 AND p[1] <> '' AND p[2] <> '' AND p[3] <> ''""",
+        "query_urls": f"SELECT * FROM (VALUES {_text_values([(i, quote(f'({h}{excluded}) AND pa=' + chr(34) + 'Foo & Bar' + chr(34), safe='*-._')) for i, h in enumerate(heads)])}) v(ord, encoded)",
         "term_format": f"SELECT * FROM (VALUES {_text_values([(t, _formatted_term(t)) for t in sample])}) v(term, query)",
         "query_blocks": f"SELECT * FROM (VALUES {_text_values(blocks)}) v(year, block, query)",
         "query_compile": f"SELECT * FROM (VALUES {_text_values([(i, f'({h}{excluded})') for i, h in enumerate(heads)])}) v(ord, query)",
