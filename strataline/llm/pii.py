@@ -22,56 +22,133 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataline.llm.boosting import Boosted
+from strataline.session import checkpoint_dir
 
 KINDS = ("email", "phone", "id_number", "address", "person")
-#: Words of the corpus lexicon that are sent to the workers, those of most evidence; bounds the broadcast (about 5 MB).
+#: Words of the corpus lexicon that every worker holds, those of most evidence; bounds the broadcast (about 5 MB).
+#: It is a cache: the evidence on all other words reaches the texts that hold them by a join.
 LEXICON_WORDS = 60_000
 
 # Words that announce an item, by kind, and words that announce other numbers.
 CUES = {
-    "phone": "call phone telephone tel mobile cell fax tried home reach telefonisch telefon tel handy mobil rückruf téléphone tél portable question teléfono tfno móvil llame llamar telefone telefono telefoon",
-    "id_number": "passport card identity licence license ssn insurance social identity holder assignor personalausweis ausweisnummer ausweis steuernummer steueridentifikationsnummer versicherungsnummer pass identité sécurité passeport carte identidad dni nie nif pasaporte documento bsn codice",
-    "address": "address resides lives deliver invoice correspondence service ship anschrift wohnt wohnhaft lieferung zustellung adresse demeure domicilié envoyer enviar vive domicilio dirección reside",
-    "other": "lot batch catalogue catalog docket fee code reference run claims claim table seq sequence compound figure example units aktenzeichen charge demande lote solicitud numéro patent application publication wo ep invoice-no order",
+    "phone": "call phone telephone tel mobile cell fax ring dial extension telefonisch telefon handy mobil rufnummer durchwahl rückruf fernsprecher téléphone tél portable appeler joignable "
+    "teléfono tfno móvil celular llamar llame telefone telemóvel ligar telefono cellulare chiamare telefoon mobiel bellen телефон тел моб факс звонить 电话 手机 传真 電話 携帯",
+    "id_number": "passport card identity licence license ssn insurance social personal national holder reisepass pass personalausweis ausweisnummer ausweis steuernummer steuer-id "
+    "steueridentifikationsnummer versicherungsnummer sozialversicherung passeport identité sécurité carte nir pasaporte identidad documento dni nie nif passaporte identificação cpf contribuinte "
+    "identità carta codice fiscale paspoort identiteitskaart bsn burgerservicenummer паспорт снилс инн удостоверение 身份证 护照 旅券 マイナンバー",
+    "address": "address resides residing lives living domiciled deliver delivery invoice correspondence ship mail visit anschrift adresse wohnt wohnhaft ansässig lieferung lieferadresse zustellung "
+    "demeure demeurant domicilié réside livrer dirección domicilio vive reside enviar entrega morada endereço residente indirizzo residente abita consegna adres woont wonende bezorgen адрес "
+    "проживает проживающий доставка 地址 住址 住所",
+    "other": "lot batch catalogue catalog docket fee code reference ref run claims claim table seq sequence compound figure fig example units order invoice-no version part model patent application "
+    "publication grant filing wo ep us aktenzeichen charge bestellnummer artikelnummer anmeldung dossier référence commande demande lote expediente referencia pedido solicitud número processo "
+    "encomenda lotto pratica ordine domanda partij zaaknummer bestelling aanvraag партия заявка заказ номер 批号 申请号 订单 番号 出願",
 }
-TITLES = "mr mrs ms miss dr prof professor sir herr herrn frau fräulein monsieur madame mademoiselle mme m señor señora don doña sr sra doctor doctora docteur doktor signor signora mevrouw meneer dhr mw"
-ROLES = r"inventor|inventors|inventrice|inventeur|inventora|erfinder|erfinderin|witnessed by|statement of|signed by|signed|contact|contacter|contacto con|wenden sie sich an|deliver to|lieferung an|enviar a|envoyer les échantillons à|reached|cc:|tenu par|puis par|llevó|después|führte|später|went to|then to|service:|receipt:|unterlagen hat|attn:?|laborbuch führte"
+TITLES = (
+    "mr mrs ms miss dr prof professor sir herr herrn frau fräulein monsieur madame mademoiselle mme mlle m señor señora señorita don doña sr sra srta dra doctor doctora docteur doktor senhor senhora "
+    "doutor doutora signor signora signorina sig dott dottore dottoressa avv mevrouw meneer heer dhr mw господин госпожа г-н г-жа доктор профессор"
+)
+#: Honorifics that follow a name in East Asian texts.
+HONORIFICS = "先生 女士 小姐 教授 博士 さん 様 氏"
+# What stands in front of a person's name in letters, forms and minutes, in the languages of the alphabet scripts.
+ROLES = (
+    "inventor", "inventors", "co-inventor", "author", "applicant", "witness", "witnessed by", "signed", "signed by", "countersigned by", "contact", "contact person", "attn", "attention", "care of",
+    "c/o", "cc", "bcc", "sincerely", "regards", "on behalf of", "represented by", "prepared by", "approved by", "reviewed by", "written by", "reported by", "presented by", "supervised by",
+    "handed to", "spoke to", "spoke with", "met with", "statement of", "declaration of", "signature of", "name", "employee", "patient",
+    "erfinder", "erfinderin", "gezeichnet", "unterzeichnet von", "unterschrieben von", "bezeugt von", "ansprechpartner", "ansprechpartnerin", "kontakt", "zu händen", "zu händen von", "z. hd",
+    "im auftrag von", "vertreten durch", "erstellt von", "geprüft von", "verfasst von", "genehmigt von", "gesprochen mit", "erklärung von", "unterschrift von", "wenden sie sich an",
+    "inventeur", "inventrice", "signé", "signé par", "contacter", "à l'attention de", "représenté par", "représentée par", "rédigé par", "vérifié par", "approuvé par", "déclaration de",
+    "signature de", "au nom de", "inventora", "firmado", "firmado por", "contacto", "a la atención de", "representado por", "representada por", "redactado por", "revisado por", "aprobado por",
+    "declaración de", "firma de", "en nombre de", "assinado por", "contato", "ao cuidado de", "redigido por", "revisto por", "aprovado por", "declaração de", "em nome de",
+    "inventore", "firmato", "firmato da", "contattare", "contatto", "all'attenzione di", "rappresentato da", "rappresentata da", "redatto da", "verificato da", "approvato da", "dichiarazione di",
+    "per conto di", "uitvinder", "ondertekend", "ondertekend door", "contactpersoon", "ter attentie van", "t.a.v", "vertegenwoordigd door", "opgesteld door", "goedgekeurd door", "verklaring van",
+    "namens", "изобретатель", "подписал", "подписала", "контактное лицо", "вниманию", "в лице", "составил", "составила", "утвердил", "утвердила", "заявление", "от имени",
+)
 STREETS_EN = "street road lane avenue crescent drive close court place terrace row square gardens way grove hill mews parade walk boulevard"
 STREETS_DE = "straße strasse weg gasse allee platz ring ufer damm stieg pfad"
-STREETS_FR = "rue avenue boulevard impasse place allée allee chemin quai cours passage route square"
+STREETS_FR = "rue avenue boulevard impasse place allée chemin quai cours passage route square"
 STREETS_ES = "calle avenida plaza paseo camino carrera travesía travesia ronda glorieta callejón"
+STREETS_IT = "via viale piazza corso largo vicolo rua praça travessa alameda"
+STREETS_NL = "straat laan weg plein gracht kade dijk singel"
+STREETS_RU = "ул. улица проспект пр. переулок пер. площадь бульвар"
 COMPANY = "ltd limited inc gmbh ag sa plc llc bv co corp university institute laboratories hospital buffer reagent"
 _TITLE_SET, _COMPANY_SET = set(TITLES.split()), set(COMPANY.split())
 _CUE_SETS = {k: set(v.split()) for k, v in CUES.items()}
+_TITLE_ANY = "|".join(sorted((re.escape(t) for t in TITLES.split() if len(t) > 1), key=len, reverse=True))
+_ROLE_ANY = "|".join(sorted(map(re.escape, ROLES), key=len, reverse=True))
 
+_UPPER, _LOWER = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
+_EAST = "\u3005-\u3007\u3040-\u30ff\u3400-\u9fff"
+#: Nothing, or a character of a script that writes no blanks between words.
+_BARE = rf"(?<![^\W{_EAST}])"
 _AT = r"(?:@|＠|\s?[(\[]\s?at\s?[)\]]\s?)"
 _DOT = r"(?:\.|\s?[(\[]\s?dot\s?[)\]]\s?|\sdot\s)"
-EMAIL = re.compile(rf"(?<![\w.+%-])[\w+%-][\w.+%-]*(?:{_AT}[\w-]+(?:{_DOT}[\w-]+)+|\sat\s[\w-]+(?:\sdot\s[\w-]+)+)", re.I)
+EMAIL = re.compile(rf"(?<![A-Za-z0-9_.+%-])[A-Za-zÀ-ÿ0-9_+%-][A-Za-zÀ-ÿ0-9_.+%-]*(?:{_AT}[A-Za-zÀ-ÿ0-9_-]+(?:{_DOT}[A-Za-zÀ-ÿ0-9_-]+)+|\sat\s[A-Za-z0-9_-]+(?:\sdot\s[A-Za-z0-9_-]+)+)", re.I)
 _MAIL_MARK = re.compile(r"[@＠]|[(\[]\s?at\s?[)\]]|\sat\s[\w-]+\sdot\s", re.I)
-NUMBER = re.compile(r"(?<![\w.,/+-])(?:\+|\(\+?)?\d(?:[\d ()/-]|\.(?=\d)){5,}\d(?![\w/]|[.,-]\d)")
-CODE = re.compile(r"(?<![\w.,/-])(?=[A-Z\d .-]*\d)(?:[A-Z]{1,3}[ -]?)?\d[A-Z\d]*(?:[ .-](?:[A-Z]{0,2}\d[A-Z\d]*|[A-Z]{1,2}))*(?![\w/]|-\d)|(?<![\w.,/-])[A-Z]{1,2}\d[A-Z\d]{5,}(?![\w/])")
-_CAP = r"[A-ZÀ-ÖØ-Þ][\w'’-]*"
-_CITY_WORD = r"[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:[-'’][^\W\d_]+)*(?![\w-])"
+#: Runs of what numbers and codes consist of; these are looked for nowhere else.
+_DIGITS = re.compile(r"[A-Z\d+(][A-Z\d .,()/+-]{5,}")
+NUMBER = re.compile(rf"{_BARE}(?<![.,/+-])(?:\+|\(\+?)?\d(?:[\d ()/-]|\.(?=\d)){{5,}}\d(?![^\W{_EAST}]|/|[.,-]\d)")
+CODE = re.compile(
+    rf"{_BARE}(?<![.,/-])(?=[A-Z\d .-]*\d)(?:[A-Z]{{1,3}}[ -]?)?\d[A-Z\d]*(?:[ .-](?:[A-Z]{{0,2}}\d[A-Z\d]*|[A-Z]{{1,2}}))*(?![^\W{_EAST}]|/|-\d)"
+    rf"|{_BARE}(?<![.,/-])[A-Z]{{1,6}}\d[A-Z\d]{{5,}}(?![^\W{_EAST}]|/)"
+)
+_CAP = rf"[{_UPPER}][\w'’-]*"
+_CITY_WORD = rf"[{_UPPER}][^\W\d_]+(?:[-'’][^\W\d_]+)*(?![\w-])"
 _CITY = rf"(?:{_CITY_WORD}(?: {_CITY_WORD}){{0,2}})"
 _BREAK = r"(?:, ?\n?|\s?\n)"
-_TAIL = rf"(?:(?:{_BREAK}| )(?:[A-Z]{{1,2}}-)?\d{{4,5}} {_CITY}|{_BREAK}{_CITY}(?:,? \d{{4,5}}(?![\w-]))?)?"
+_TAIL = rf"(?:(?:{_BREAK}| )(?:[A-Z]{{1,2}}-)?\d{{4,5}}(?:-\d{{3}}| [A-Z]{{2}}\b)? {_CITY}|{_BREAK}{_CITY}(?:,? \d{{4,5}}(?![\w-]))?)?"
+
+
+def _any(words: str) -> str:
+    return "|".join(map(re.escape, dict.fromkeys(words.split())))
+
+
 ADDRESS = re.compile(
     rf"(?<![\w-])(?:"
-    rf"(?:(?i:flat|apartment|apt\.?|unit|suite) \d{{1,4}}[A-Za-z]?, )?\d{{1,4}}[A-Za-z]?,? (?:{_CAP} ){{1,3}}(?i:{'|'.join(STREETS_EN.split())})\b{_TAIL}"
-    rf"|(?:(?:(?i:am|an der|auf dem|im|in der|zum|zur|alte|alter|altes|neue|neuer|große|kleine|obere|untere|hintere|vordere) )?{_CAP}(?i:{'|'.join(STREETS_DE.split())})|(?:Am|Im|An der|Auf dem|In der|Zum|Zur|Alte|Neue|Alter|Neuer|AM|IM|ZUM|ZUR|ALTE) {_CAP}) \d{{1,4}}(?: ?[a-z]\b)?{_TAIL}"
-    rf"|\d{{1,4}}(?: (?i:bis|ter|quater))?,? (?i:{'|'.join(dict.fromkeys(STREETS_FR.split()))})(?: (?i:de la|de l'|des|de|du|d'|la|le|les))? ?{_CAP}(?: {_CAP}){{0,2}}?{_TAIL}"
-    rf"|(?i:{'|'.join(STREETS_ES.split())})(?: (?i:de la|de los|de las|del|de))? {_CAP}(?: {_CAP})?,? (?:(?i:n\.?º|núm\.|nº) ?)?\d{{1,4}}(?:, \d{{1,2}}\.?º(?: [A-Z]\b)?)?{_TAIL}"
+    rf"(?:(?i:flat|apartment|apt\.?|unit|suite) \d{{1,4}}[A-Za-z]?, )?\d{{1,4}}[A-Za-z]?,? (?:{_CAP} ){{1,3}}(?i:{_any(STREETS_EN)})\b{_TAIL}"
+    rf"|(?:(?:(?i:am|an der|auf dem|im|in der|zum|zur|alte|alter|altes|neue|neuer|große|kleine|obere|untere|hintere|vordere) )?{_CAP}(?i:{_any(STREETS_DE + ' ' + STREETS_NL)})|(?:Am|Im|An der|Auf dem|In der|Zum|Zur|Alte|Neue|Alter|Neuer|AM|IM|ZUM|ZUR|ALTE) {_CAP}) \d{{1,4}}(?: ?[a-z]\b)?{_TAIL}"
+    rf"|\d{{1,4}}(?: (?i:bis|ter|quater))?,? (?i:{_any(STREETS_FR)})(?: (?i:de la|de l'|des|de|du|d'|la|le|les))? ?{_CAP}(?: {_CAP}){{0,2}}?{_TAIL}"
+    rf"|(?i:{_any(STREETS_ES + ' ' + STREETS_IT)})(?: (?i:de la|de los|de las|del|della|delle|dei|degli|di|da|das|dos|do|de))? {_CAP}(?: {_CAP})?,? (?:(?i:n\.?º|núm\.|nº|n\.) ?)?\d{{1,4}}(?:, \d{{1,2}}\.?º(?: [A-Z]\b)?)?{_TAIL}"
+    rf"|(?i:{_any(STREETS_RU)}) ?{_CAP}(?: {_CAP})?, (?i:д\. ?|дом )?\d{{1,4}}[а-я]?(?:, (?i:кв\. ?|квартира )\d{{1,4}})?(?:, (?:\d{{6}}, )?(?i:г\. ?|город )?{_CITY})?"
     rf")"
 )
+#: Addresses of China and Japan, which blanks don't divide.
+_HAN = "\u4e00-\u9fff"
+_PLACE = rf"(?:(?![在于到至址为是住])[{_HAN}])"
+EAST_ADDRESS = re.compile(
+    rf"(?:{_PLACE}{{2,8}}?(?:省|市|区|县))*{_PLACE}{{1,8}}(?:路|街|大道|巷)\d{{1,5}}号(?:[{_HAN}]{{0,6}}\d{{1,4}}(?:室|楼|层|单元|号))?"
+    rf"|(?:〒?\d{{3}}-\d{{4}}[ 　]?)?[{_HAN}]{{2,3}}[都道府県][{_EAST}]{{1,12}}?[市区町村][{_EAST}]{{0,12}}?\d{{1,4}}(?:(?:丁目|番地|番|号|-|－|−)\d{{0,4}}){{0,4}}"
+)
+_EAST_NAME = re.compile(rf"(?<![{_HAN}])[{_HAN}]{{2,4}}(?=(?:{'|'.join(HONORIFICS.split())}))|[\u30a1-\u30fa\u30fc]{{2,}}(?:・[\u30a1-\u30fa\u30fc]{{2,}})*(?=(?:さん|様|氏))")
+_HAN_OR_KANA = re.compile(rf"[{_EAST}]")
 _STREET = re.compile(
-    rf"\b(?:{'|'.join(dict.fromkeys((STREETS_EN + ' ' + STREETS_FR + ' ' + STREETS_ES).split()))})\b|(?:{'|'.join(STREETS_DE.split())})\b|\b(?:am|im|an der|auf dem|in der|zum|zur|alter?|neuer?) [A-ZÀ-Þ][\w-]+ \d", re.I
+    rf"\b(?:{_any(STREETS_EN + ' ' + STREETS_FR + ' ' + STREETS_ES + ' ' + STREETS_IT + ' ' + STREETS_RU)})(?!\w)|(?:{_any(STREETS_DE + ' ' + STREETS_NL)})\b"
+    rf"|\b(?:am|im|an der|auf dem|in der|zum|zur|alter?|neuer?) [{_UPPER}][\w-]+ \d",
+    re.I,
 )
 _WORD = re.compile(r"(?<!\w)[^\W\d_]+(?:['’-][^\W\d_]+)*\.?")
-_ROLE = re.compile(rf"(?:{ROLES})\s+$", re.I)
+_ROLE = re.compile(rf"(?<!\w)(?:{_ROLE_ANY})$")
+
+
+def _announced(before: str) -> bool:
+    """Whether one of ROLES ends ``before``."""
+    near = before.rstrip()
+    if len(near) == len(before):
+        return False
+    near = near.rstrip(".:,").lower()
+    return near.endswith(ROLES) and _ROLE.search(near) is not None
+
+
+def _mails(text: str) -> list[tuple[int, int]]:
+    """E-mail addresses, their marks looked for by plain search first."""
+    low = text.lower()
+    if "@" not in low and "＠" not in low and not (("dot" in low or "at)" in low or "at]" in low or "at )" in low or "at ]" in low) and _MAIL_MARK.search(text)):
+        return []
+    return [m.span() for m in EMAIL.finditer(text)]
 
 
 @functools.cache
@@ -80,9 +157,9 @@ def _anchors(kind: str):
     import ahocorasick
 
     if kind == "street":
-        words = [*(STREETS_EN + " " + STREETS_FR + " " + STREETS_ES + " " + STREETS_DE).split(), *"am |im |an der |auf dem |in der |zum |zur |alte |alter |neue |neuer ".split("|")]
+        words = [*" ".join((STREETS_EN, STREETS_FR, STREETS_ES, STREETS_IT, STREETS_RU, STREETS_DE, STREETS_NL)).split(), *"am |im |an der |auf dem |in der |zum |zur |alte |alter |neue |neuer ".split("|")]
     else:
-        words = [f"{t}{end}" for t in TITLES.split() if len(t) > 1 for end in (" ", ". ")] + [r.rstrip("?") for r in ROLES.split("|")] + [r.replace(":?", "") for r in ROLES.split("|") if r.endswith(":?")]
+        words = [f"{t}{end}" for t in TITLES.split() if len(t) > 1 for end in (" ", ". ")] + [f"{r}{end}" for r in ROLES for end in " \n.:,"]
     made = ahocorasick.Automaton()
     for word in words:
         made.add_word(word, len(word))
@@ -117,13 +194,11 @@ def _starts(text: str, at: int) -> bool:
     return i < 0 or text[i] in ".!?\n。>"
 
 
-_CAPITAL = re.compile(r"(?<![\w@.+-])[A-ZÀ-ÖØ-Þ][^\W\d_]+(?![\w@])")
-_SMALL = re.compile(r"(?<![\w@.+-])[a-zß-ÿ][^\W\d_]+(?![\w@])")
-_OPENING = re.compile(r"(?:^|[.!?\n。>])[ \t\"'(\[]*([A-ZÀ-ÖØ-Þ][^\W\d_]+)")
-_NAME = rf"(?:[A-Z]\. )?[A-ZÀ-ÖØ-Þ][^\W\d_]+(?:-[A-ZÀ-ÖØ-Þ][^\W\d_]+)*"
-_ANNOUNCED = re.compile(
-    rf"(?:\b(?i:{'|'.join(t for t in TITLES.split() if len(t) > 1)})\.? |(?<!\w)(?i:{ROLES})\s+)(?:(?i:{'|'.join(t for t in TITLES.split() if len(t) > 1)})\.? )*({_NAME})(?:(,? )(?:[A-Z]\. )?({_NAME}))?"
-)
+_CAPITAL = re.compile(rf"(?<![\w@.+-])[{_UPPER}][^\W\d_]+(?![\w@])")
+_SMALL = re.compile(rf"(?<![\w@.+-])[{_LOWER}][^\W\d_]+(?![\w@])")
+_OPENING = re.compile(rf"(?:^|[.!?\n。>])[ \t\"'(\[]*([{_UPPER}][^\W\d_]+)")
+_NAME = rf"(?:[{_UPPER}]\. )?[{_UPPER}][^\W\d_]+(?:-[{_UPPER}][^\W\d_]+)*"
+_ANNOUNCED = re.compile(rf"(?<!\w)(?:(?i:{_TITLE_ANY})\.? |(?i:{_ROLE_ANY})[.:,]?\s+)(?:(?i:{_TITLE_ANY})\.? )*({_NAME})(?:(,? )(?:[{_UPPER}]\. )?({_NAME}))?")
 
 
 def evidence(text: str) -> dict[str, list[int]]:
@@ -155,22 +230,21 @@ def evidence(text: str) -> dict[str, list[int]]:
         name(m.group(1))
         if m.group(3) and not (m.group(2) == ", " and " " in m.group(1)):
             name(m.group(3))
-    if _MAIL_MARK.search(text):
-        for m in EMAIL.finditer(text):
-            local = fold(re.split(_AT, m.group(), maxsplit=1)[0])
-            for low, high in ((max(0, m.start() - 80), m.start()), (m.end(), m.end() + 80)):
-                window = [(w.start() + low, w.end() + low, w.group()) for w in _CAPITAL.finditer(text[low:high])]
-                for i, (s, e, word) in enumerate(window):
-                    key = fold(word)
-                    if len(key) < 4 or key not in local:
-                        continue
-                    strong[word] += 1
-                    for j in (i - 1, i + 1):
-                        if 0 <= j < len(window):
-                            s2, e2, other = window[j]
-                            gap = text[e2:s] if j < i else text[e:s2]
-                            if gap == " " and fold(other) not in local and fold(other) not in _TITLE_SET and not (j < i and _starts(text, s2)):
-                                strong[other] += 1
+    for start, end in _mails(text):
+        local = fold(re.split(_AT, text[start:end], maxsplit=1)[0])
+        for low, high in ((max(0, start - 80), start), (end, end + 80)):
+            window = [(w.start() + low, w.end() + low, w.group()) for w in _CAPITAL.finditer(text[low:high])]
+            for i, (s, e, word) in enumerate(window):
+                key = fold(word)
+                if len(key) < 4 or key not in local:
+                    continue
+                strong[word] += 1
+                for j in (i - 1, i + 1):
+                    if 0 <= j < len(window):
+                        s2, e2, other = window[j]
+                        gap = text[e2:s] if j < i else text[e:s2]
+                        if gap == " " and fold(other) not in local and fold(other) not in _TITLE_SET and not (j < i and _starts(text, s2)):
+                            strong[other] += 1
     add(strong, 0)
     return counts
 
@@ -180,6 +254,8 @@ class Lexicon:
 
     def __init__(self, rows: dict[str, tuple[int, int, int, int]]):
         self.rows = rows
+        #: Words beyond ``rows`` that the texts at hand hold.
+        self.rest: dict[str, tuple[int, int, int, int]] = {}
         self.known: dict[str, bool] = {}
 
     def name_like(self, word: str) -> bool:
@@ -196,7 +272,7 @@ class Lexicon:
         """Of a hyphenated word, the least name-like part counts."""
         best = (1.0, 0.0, 0.0)
         for part in fold(word).split("-"):
-            strong, capital, small, start = self.rows.get(part, (0, 0, 0, 0))
+            strong, capital, small, start = self.rows.get(part) or self.rest.get(part, (0, 0, 0, 0))
             mine = (strong / (capital + 1.0), small / (capital + small + 1.0), start / (capital + 1.0))
             if mine[0] <= best[0]:
                 best = mine
@@ -227,26 +303,46 @@ def _trimmed(text: str, start: int, end: int, lexicon: Lexicon) -> int:
             return end
 
 
+def _near(text: str, words: set[str]) -> list[tuple[int, int]]:
+    """Stretches of ``text`` around the places of ``words``, as wide as a run of initials may reach."""
+    places = []
+    for word in words:
+        at = text.find(word)
+        while at >= 0:
+            places.append((max(0, at - 40), at + len(word) + 40))
+            at = text.find(word, at + len(word))
+    out: list[list[int]] = []
+    for a, b in sorted(places):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(b, out[-1][1])
+        else:
+            # From a blank to a blank, so that no word is cut.
+            out.append([text.rfind(" ", 0, a) + 1, b])
+    return [(a, end if (end := text.find(" ", b)) >= 0 else len(text)) for a, b in out]
+
+
 def _names(text: str, lexicon: Lexicon, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Runs of name-like words: given names, initials and surnames in either order."""
-    tokens, known = [], lexicon.name_like
-    for m in _WORD.finditer(text):
-        w = m.group()
-        if len(w) > 2 and not (known(w[:-1] if w[-1] == "." else w)):
-            continue
-        s, e = m.span()
-        if any(a <= s < b for a, b in taken):
-            continue
-        if len(w) == 2 and w[1] == "." and w[0].isalpha():
-            tokens.append((s, e, "i"))
-            continue
-        if w.endswith("."):
-            w, e = w[:-1], e - 1
-        if len(w) == 1 and w.isupper():
-            tokens.append((s, e, "i"))
-            continue
-        if lexicon.name_like(w):
-            tokens.append((s, e, "n"))
+    hits = {w for w in set(_WORD.findall(text)) if len(w) > 2 and lexicon.name_like(w[:-1] if w[-1] == "." else w)}
+    if not hits:
+        return []
+    known = {w.rstrip(".") for w in hits}
+    tokens, last = [], 0
+    for low, high in _near(text, known):
+        for m in _WORD.finditer(text, max(low, last), high):
+            w = m.group()
+            s, e = m.span()
+            last = e
+            short = len(w) == 1 or (len(w) == 2 and w[1] == ".")
+            if not short and w.rstrip(".") not in known:
+                continue
+            if any(a <= s < b for a, b in taken):
+                continue
+            if short:
+                if len(w) == 2 or w.isupper():
+                    tokens.append((s, e, "i"))
+                continue
+            tokens.append((s, e - w.endswith("."), "n"))
     runs: list[list[tuple[int, int, str]]] = []
     for t in tokens:
         if runs and text[runs[-1][-1][1] : t[0]] in (" ", "  ", "\xa0"):
@@ -269,22 +365,52 @@ def _names(text: str, lexicon: Lexicon, taken: list[tuple[int, int]]) -> list[tu
                 out.append((s, nxt[-1][1]))
                 i += 2
                 continue
-        if run[0][2] == "i" and text[run[0][0] : run[0][1]].islower() and len(run) == 1:
-            i += 1
-            continue
         out.append((s, e))
         i += 1
     return out
 
 
+_START = re.compile(r"(?<![\w-])\w")
+#: Words in front of a street word that an address may begin with: a flat, its number, a house number, articles and names.
+WORDS_BEFORE = 9
+
+
+def _addresses(text: str, lexicon: Lexicon) -> list[tuple[int, int]]:
+    """Postal addresses, tried at every word from a few in front of a street word on; they may be of any length."""
+    out: list[tuple[int, int]] = []
+    end = 0
+    for hit in _anchored(_STREET, "street", text):
+        if hit.start() < end:
+            continue
+        low = hit.start()
+        for _ in range(WORDS_BEFORE):
+            low = max(text.rfind(" ", 0, max(0, low - 1)), text.rfind("\n", 0, max(0, low - 1))) + 1
+            if not low:
+                break
+        at = max(low, end)
+        while (start := _START.search(text, at)) and start.start() <= hit.end():
+            m = ADDRESS.match(text, start.start())
+            if not m:
+                at = start.end()
+                continue
+            at = m.end()
+            e = _trimmed(text, m.start(), m.end(), lexicon)
+            if e > hit.start():
+                out.append((m.start(), e))
+                end = max(end, e)
+    return out
+
+
 def candidates(text: str, lexicon: Lexicon) -> list[tuple[int, int, int]]:
     """Overlapping ``(start, end, kind)`` proposals, kind by its number in KINDS."""
     out: list[tuple[int, int, int]] = []
-    mails = [m.span() for m in EMAIL.finditer(text)] if _MAIL_MARK.search(text) else []
+    mails = _mails(text)
     out += [(s, e, 0) for s, e in mails]
-    digits = any(c.isdigit() for c in text)
-    if digits:
-        for m in NUMBER.finditer(text):
+    digits = False
+    for run in _DIGITS.finditer(text):
+        digits = True
+        low, high = run.start(), min(len(text), run.end() + 2)
+        for m in NUMBER.finditer(text, low, high):
             s, e = m.span()
             n = sum(c.isdigit() for c in m.group())
             if text[s] == "(" and text.count(")", s, e) < text.count("(", s, e):
@@ -292,43 +418,44 @@ def candidates(text: str, lexicon: Lexicon) -> list[tuple[int, int, int]]:
             if n >= 7:
                 out.append((s, e, 1))
                 out.append((s, e, 2))
-        for m in CODE.finditer(text):
+        for m in CODE.finditer(text, low, high):
             n = sum(c.isalnum() for c in m.group())
             if n >= 7 and any(c.isalpha() for c in m.group()):
                 out.append((*m.span(), 2))
-        end = 0
-        for hit in _anchored(_STREET, "street", text):
-            if hit.start() < end:
-                continue
-            # An address lies around its street word; no need to try it anywhere else.
-            for m in ADDRESS.finditer(text, max(0, hit.start() - 60), hit.end() + 120):
-                s, e = m.span()
-                if s > hit.end():
-                    break
-                e = _trimmed(text, s, e, lexicon)
-                if e > hit.start():
-                    out.append((s, e, 3))
-                    end = max(end, e)
+    east = _HAN_OR_KANA.search(text) is not None
+    if digits or _DIGIT.search(text):
+        out += [(s, e, 3) for s, e in _addresses(text, lexicon)]
+        if east:
+            out += [(*m.span(), 3) for m in EAST_ADDRESS.finditer(text)]
+    if east:
+        out += [(*m.span(), 4) for m in _EAST_NAME.finditer(text)]
     out += [(s, e, 4) for s, e in _names(text, lexicon, mails)]
     return sorted(set(out))
 
 
+_DIGIT = re.compile(r"\d")
+_GROUPS = re.compile(r"\d+")
+_POSTCODE = re.compile(r"\d{4,5}")
+
+
 def _cue_distance(words: list[tuple[int, str]], at: int, cues: set[str]) -> float:
     """How far, in characters, the nearest cue lies in front; 99 if there is none."""
     return min((at - s for s, w in words if w in cues), default=99)
 
 
-def features(text: str, span: tuple[int, int, int], lexicon: Lexicon) -> list[float]:
-    """Format and context of a proposed span."""
+def features(text: str, span: tuple[int, int, int], lexicon: Lexicon, mails: list[tuple[int, int]]) -> list[float]:
+    """Format and context of a proposed span; ``mails`` are the e-mail addresses of the text."""
     s, e, kind = span
     item = text[s:e]
-    groups = [len(g) for g in re.findall(r"\d+", item)] or [0]
+    groups = [len(g) for g in _GROUPS.findall(item)] or [0]
     before = text[max(0, s - 70) : s]
     cut = max(before.rfind(". "), before.rfind("\n"))
     near = before[cut + 1 :] if cut >= 0 else before
     base = s - len(near)
     words = [(base + m.start(), fold(m.group())) for m in _WORD.finditer(near)]
     words += [(p, w.split("'")[-1]) for p, w in words if "'" in w]
+    if not near.isascii() and _HAN_OR_KANA.search(near):
+        words += [(base + i, near[i : i + n]) for i in range(len(near)) for n in (2, 3)]
     after = text[e : e + 3]
     previous = fold(near.rstrip().rsplit(None, 1)[-1]) if near.strip() else ""
     following = _WORD.match(text, e + 1) if after[:1] == " " else None
@@ -339,6 +466,7 @@ def features(text: str, span: tuple[int, int, int], lexicon: Lexicon) -> list[fl
         float(sum(groups)),
         float(len(groups)),
         float(groups[0]),
+        float(groups[1] if len(groups) > 1 else 0),
         float(groups[-1]),
         float(max(groups)),
         float(sum(c.isalpha() for c in item)),
@@ -353,29 +481,41 @@ def features(text: str, span: tuple[int, int, int], lexicon: Lexicon) -> list[fl
         float(_cue_distance(words, s, _CUE_SETS["address"])),
         float(_cue_distance(words, s, _CUE_SETS["other"])),
         float(previous in _TITLE_SET),
-        float(bool(_ROLE.search(before))),
+        float(kind == 4 and _announced(before)),
         min(r[0] for r in rates),
         max(r[0] for r in rates),
         max(r[1] for r in rates),
         float(len(tokens)),
         float(item.isupper()) + 2.0 * float(item.islower()),
         float(bool(following) and fold(following.group()) in _COMPANY_SET),
-        float(bool(re.search(r"\d{4,5}", item)) and kind == 3),
+        float(kind == 3 and bool(_POSTCODE.search(item))),
         float(item.count(",")),
-        float(bool(EMAIL.search(text[max(0, s - 60) : s])) or bool(EMAIL.search(text[e : e + 70]))),
+        float(any(a < e + 70 and b > s - 60 and (a, b) != (s, e) for a, b in mails)),
+        float(kind == 4 and text.startswith(tuple(HONORIFICS.split()), e)),
     ]
 
 
+def described(text: str, lexicon: Lexicon) -> tuple[list[tuple[int, int, int]], list[list[float]]]:
+    """The proposed spans of a text and their features."""
+    spans = candidates(text, lexicon)
+    mails = [(s, e) for s, e, kind in spans if kind == 0]
+    return spans, [features(text, c, lexicon, mails) for c in spans]
+
+
 class Finder:
-    """Finds spans with trained trees, thresholds per kind and a corpus lexicon."""
+    """Finds spans with the trees of each kind, thresholds per kind and a corpus lexicon."""
 
-    def __init__(self, trees: Boosted, thresholds: list[float], lexicon: Lexicon):
+    def __init__(self, trees: tuple[Boosted, ...], thresholds: list[float], lexicon: Lexicon):
         self.trees, self.thresholds, self.lexicon = trees, thresholds, lexicon
 
     def find(self, texts: list[str]) -> list[list[tuple[int, int, str]]]:
-        spans = [candidates(t, self.lexicon) for t in texts]
-        rows = [features(t, c, self.lexicon) for t, own in zip(texts, spans) for c in own]
-        sure = self.trees.probability(np.array(rows, np.float64)) if rows else np.zeros(0)
+        made = [described(t, self.lexicon) for t in texts]
+        spans, rows = [m[0] for m in made], [r for m in made for r in m[1]]
+        x = np.array(rows or [[]], np.float64)
+        sure = np.zeros(len(rows))
+        for kind, trees in enumerate(self.trees if rows else ()):
+            if len(own := np.flatnonzero(x[:, 0] == kind)):
+                sure[own] = trees.probability(x[own])
         out, at = [], 0
         for own in spans:
             scored = sorted(((float(p), c) for p, c in zip(sure[at : at + len(own)], own)), key=lambda x: (-round(x[0], 2), -(x[1][1] - x[1][0]), x[1]))
@@ -388,11 +528,11 @@ class Finder:
         return out
 
 
-def lexicon_of(df: DataFrame, text: str, words: int = LEXICON_WORDS) -> DataFrame:
-    """``word``, ``strong``, ``capital``, ``small``, ``opening``: counts over all documents.
+def lexicon_of(df: DataFrame, text: str) -> DataFrame:
+    """``word``, ``strong``, ``capital``, ``small``, ``opening``: counts over all documents of all words that matter.
 
-    Counts are combined in each partition first. Of the counted words, those of most evidence are
-    kept: names first, then the words that open sentences.
+    Counts are combined in each partition first. Words that never stand where only names stand and
+    hardly open sentences don't matter.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,7 +551,7 @@ def lexicon_of(df: DataFrame, text: str, words: int = LEXICON_WORDS) -> DataFram
     schema = "word string, strong long, capital long, small long, opening long"
     counted = df.select(F.col(f"`{text}`").alias("text")).where("length(text) > 0").mapInArrow(run, schema)
     summed = counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("strong", "capital", "small", "opening")])
-    return summed.where("strong > 0 OR opening > 1").orderBy(F.desc("strong"), F.desc("opening"), "word").limit(words)
+    return summed.where("strong > 0 OR opening > 1")
 
 
 def _counts(total: dict[str, list[int]]) -> pa.RecordBatch:
@@ -419,31 +559,90 @@ def _counts(total: dict[str, list[int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), *(pa.array(c, pa.int64()) for c in columns)], names=["word", "strong", "capital", "small", "opening"])
 
 
-def found(df: DataFrame, key: str, text: str, finder: Finder) -> DataFrame:
+#: Bits of the filter that tells which words may have evidence beyond the cache.
+FILTER_BITS = 1 << 23
+_COUNTS = ("strong", "capital", "small", "opening")
+
+
+def _filter_of(words: DataFrame) -> np.ndarray:
+    """A filter of FILTER_BITS bits with one set for each word, by its hash."""
+    bit = F.pmod(F.xxhash64("word"), F.lit(FILTER_BITS))
+    # At most FILTER_BITS / 32 rows.
+    rows = words.groupBy(F.floor(bit / 32).alias("at")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(pmod(xxhash64(word), {FILTER_BITS}), 32) AS INT))")).alias("bits")).collect()
+    out = np.zeros(FILTER_BITS // 32, np.uint32)
+    for r in rows:
+        out[r["at"]] = r["bits"]
+    return out
+
+
+def _may_hold(bits: np.ndarray, word: str) -> bool:
+    at = (xxhash.xxh64_intdigest(word.encode(), 42) - (1 << 64)) % FILTER_BITS
+    return bool(bits[at >> 5] >> (at & 31) & 1)
+
+
+def _with_rest(source: DataFrame, rest: DataFrame) -> DataFrame:
+    """``source`` (``k``, ``t``) with ``rest``: the evidence on those words of each text that ``rest`` has.
+
+    Texts ask for the words that pass a filter of fixed size; the evidence is joined by word and
+    brought back by the hash of the text, so that equal texts ask once. Equal hashes of different
+    texts only bring a text words that it doesn't hold.
+    """
+    shared = source.sparkSession.sparkContext.broadcast(_filter_of(rest))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            hashes, words = [], []
+            for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = {part for w in set(_WORD.findall(t)) for part in fold(w).split("-") if _may_hold(bits, part)}
+                hashes += [h] * len(own)
+                words += sorted(own)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(words, pa.string())], names=["h", "word"])
+
+    asked = source.where("length(t) > 0").select(F.xxhash64("t").alias("h"), "t").mapInArrow(ask, "h long, word string").distinct()
+    answers = asked.join(rest, "word").groupBy("h").agg(F.collect_list(F.struct("word", *_COUNTS)).alias("rest"))
+    return source.withColumn("h", F.xxhash64("t")).join(answers, "h", "left").drop("h")
+
+
+def found(df: DataFrame, key: str, text: str, trees: tuple[Boosted, ...], thresholds: tuple[float, ...], cached: int = LEXICON_WORDS) -> DataFrame:
     """``key``, ``spans`` and ``redacted`` of every row.
 
     ``spans`` is an array of (start_pos, end_pos, pii_kind) in order, positions in code points;
     ``redacted`` is the text with ``[KIND]`` in place of each span and otherwise unchanged. Null
-    texts have null, empty and blank ones no spans. Whole texts are searched, however long.
+    texts have null, empty and blank ones no spans. Whole texts are searched, however long, with
+    the evidence of all documents on all of their words; how many of these are ``cached`` by the
+    workers changes no result.
     """
-    shared = df.sparkSession.sparkContext.broadcast((finder.trees, finder.thresholds, finder.lexicon.rows))
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    lexicon = lexicon_of(df, text).checkpoint()
+    order = [F.desc("strong"), F.desc("opening"), F.col("word")]
+    top = lexicon.orderBy(*order).limit(cached + 1).collect()
+    shared = spark.sparkContext.broadcast((trees, thresholds, {r["word"]: tuple(r[c] for c in _COUNTS) for r in top[:cached]}))
     source = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
+    if len(top) > cached:
+        last = top[cached]
+        rank = F.struct(-F.col("strong"), -F.col("opening"), F.col("word"))
+        source = _with_rest(source, lexicon.where(rank >= F.struct(F.lit(-last["strong"]).cast("long"), F.lit(-last["opening"]).cast("long"), F.lit(last["word"]))))
+    else:
+        source = source.withColumn("rest", F.lit(None).cast("array<struct<word:string,strong:bigint,capital:bigint,small:bigint,opening:bigint>>"))
     kind = pa.list_(pa.struct([("start_pos", pa.int32()), ("end_pos", pa.int32()), ("pii_kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees, thresholds, rows = shared.value
-        own = Finder(trees, thresholds, Lexicon(rows))
+        own = Finder(trees, list(thresholds), Lexicon(rows))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = part.column(1).to_pylist()
+                own.lexicon.rest = {x["word"]: tuple(x[c] for c in _COUNTS) for held in part.column(2).to_pylist() for x in held or ()}
                 spans = own.find([t or "" for t in texts])
                 redacted = [None if t is None else redact(t, s) for t, s in zip(texts, spans)]
                 lists = [None if t is None else [dict(zip(("start_pos", "end_pos", "pii_kind"), x)) for x in s] for t, s in zip(texts, spans)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lists, kind), pa.array(redacted, pa.string())], names=["k", "spans", "redacted"])
 
-    schema = f"k {source.schema[0].dataType.simpleString()}, spans array<struct<start_pos:int,end_pos:int,pii_kind:string>>, redacted string"
-    return source.mapInArrow(run, schema).withColumnRenamed("k", key)
+    schema = f"k {source.schema['k'].dataType.simpleString()}, spans array<struct<start_pos:int,end_pos:int,pii_kind:string>>, redacted string"
+    return source.select("k", "t", "rest").mapInArrow(run, schema).withColumnRenamed("k", key)
 
 
 def redact(text: str, spans: list[tuple[int, int, str]]) -> str:

@@ -12,7 +12,7 @@ from strataline.llm.bpe import encoded, token_counts
 from strataline.llm.langid import Model, fit, identified, languages, training_sample
 from strataline.llm.names import entities, entity_pairs
 from strataline.llm.packing import fill_report, packed
-from strataline.llm.pii import Finder, Lexicon, found, lexicon_of
+from strataline.llm.pii import found
 from strataline.llm.pii_examples import trained
 from strataline.llm.skeleton import disguised, look_alikes
 from strataline.llm.survivors import choose_rows, survivors, unbeaten
@@ -160,11 +160,7 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    # At most LEXICON_WORDS rows: what the corpus says about its most telling words.
-    words = {r["word"]: (r["strong"], r["capital"], r["small"], r["opening"]) for r in lexicon_of(documents, "text").collect()}
-    trees, thresholds = trained()
-    return found(documents, "doc_id", "text", Finder(trees, list(thresholds), Lexicon(words)))
+    return found(table(spark, sf_dir, "documents"), "doc_id", "text", *trained())
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

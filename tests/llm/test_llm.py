@@ -384,8 +384,7 @@ def test_redacted_frames(spark, trained):
     text = "cc: Wendy Karlowick <w.karlowick@mail.example>\nCall +44 (0)20 7946 0320 or visit 12 Mill Orchard Road, Kelmora 03677. Lot 7741-20-3312 was used. As Mr Karlowick said."
     long = "The duplex was purified. " * 4000 + "Mail x.y@z.example now."
     df = spark.createDataFrame([(1, text, 0), (2, None, 0), (3, "", 0), (4, long, 0), (1, text, 0)], "doc_id long, text string, spans int")
-    lexicon = {r.word: (r.strong, r.capital, r.small, r.opening) for r in pii.lexicon_of(df, "text").collect()}
-    got = pii.found(df, "doc_id", "text", pii.Finder(trained[0], list(trained[1]), pii.Lexicon(lexicon)))
+    got = pii.found(df, "doc_id", "text", *trained)
     rows = got.collect()
     one = [r for r in rows if r.doc_id == 1]
     assert len(rows) == 5 and len(one) == 2 and one[0] == one[1]
@@ -394,7 +393,27 @@ def test_redacted_frames(spark, trained):
     assert not any("7741" in t for t, _ in kinds) and "[EMAIL]" in one[0].redacted and "Lot 7741-20-3312 was used." in one[0].redacted
     by = {r.doc_id: r for r in rows}
     assert by[2].redacted is None and by[2].spans is None and by[3].spans == [] and by[4].redacted.endswith("Mail [EMAIL] now.")
-    assert pii.found(df.limit(0), "doc_id", "text", pii.Finder(trained[0], list(trained[1]), pii.Lexicon({}))).count() == 0
+    assert pii.found(df.limit(0), "doc_id", "text", *trained).count() == 0
+    # How many words the workers hold changes nothing: with 3 of them nearly all evidence comes by the join.
+    assert sorted(map(str, pii.found(df, "doc_id", "text", *trained, cached=3).collect())) == sorted(map(str, rows))
+
+
+def test_evidence_beyond_the_cache(spark, trained):
+    # More names than the workers hold, each told to be one by a title somewhere else.
+    r = random.Random(9)
+    names = sorted({"".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(4)).capitalize() for _ in range(3000)})
+    rows = [(i, f"As Mr. {n} said. Then Dr. {n} left.") for i, n in enumerate(names)] + [(10_000 + i, f"We met Mrs. {n} again.") for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    whole, joined = ({(r.doc_id, str(r.spans)) for r in pii.found(df, "doc_id", "text", *trained, cached=n).collect()} for n in (60_000, 100))
+    assert whole == joined and sum("person" in s for _, s in joined) > 0.98 * len(rows)
+
+
+def test_addresses_of_any_length_and_other_scripts(trained):
+    lexicon = pii.Lexicon({})
+    long = "Flat 12, 7 " + "Verylongnamedplaceofoldtimes" * 4 + " " + "Otherlongnameofaplace" * 4 + " Road, " + "Kelmoraunderthehills" * 6 + " 03677"
+    assert (5, 5 + len(long), 3) in pii.candidates(f"Lab: {long}. Then", lexicon)
+    for text, item, kind in [("手机13912345678。", "13912345678", 1), ("住在江苏省苏州市工业园区星湖街218号。", "江苏省苏州市工业园区星湖街218号", 3), ("王小明先生来了", "王小明", 4), ("ул. Тверина, д. 5, кв. 3, г. Омск", None, 3), ("Via della Rosa 12, 00100 Kelmora", None, 3), ("Rozenstraat 12a, 1234 AB Kelmora", None, 3), ("Rua do Sol, 12, 1000-001 Kelmora", None, 3)]:
+        assert any(text[s:e] == (item or text) and k == kind for s, e, k in pii.candidates(text, lexicon)), text
 
 
 def test_all_queries_on_the_smallest_tables(spark):
