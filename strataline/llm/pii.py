@@ -87,8 +87,7 @@ _EAST = "\u3005-\u3007\u3040-\u30ff\u3400-\u9fff"
 _BARE = rf"(?<![^\W{_EAST}])"
 _AT = r"(?:@|＠|\s?[(\[]\s?at\s?[)\]]\s?)"
 _DOT = r"(?:\.|\s?[(\[]\s?dot\s?[)\]]\s?|\sdot\s)"
-EMAIL = re.compile(rf"(?<![A-Za-z0-9_.+%-])[A-Za-zÀ-ÿ0-9_+%-][A-Za-zÀ-ÿ0-9_.+%-]*(?:{_AT}[A-Za-zÀ-ÿ0-9_-]+(?:{_DOT}[A-Za-zÀ-ÿ0-9_-]+)+|\sat\s[A-Za-z0-9_-]+(?:\sdot\s[A-Za-z0-9_-]+)+)", re.I)
-_MAIL_MARK = re.compile(r"[@＠]|[(\[]\s?at\s?[)\]]|\sat\s[\w-]+\sdot\s", re.I)
+EMAIL = re.compile(rf"[A-Za-zÀ-ÿ0-9_+%-][A-Za-zÀ-ÿ0-9_.+%-]*(?:{_AT}[A-Za-zÀ-ÿ0-9_-]+(?:{_DOT}[A-Za-zÀ-ÿ0-9_-]+)+|\sat\s[A-Za-z0-9_-]+(?:\sdot\s[A-Za-z0-9_-]+)+)", re.I)
 #: Runs of what numbers and codes consist of; these are looked for nowhere else.
 _DIGITS = re.compile(r"[A-Z\d+(][A-Z\d .,()/+-]{5,}")
 NUMBER = re.compile(rf"{_BARE}(?<![.,/+-])(?:\+|\(\+?)?\d(?:[\d ()/-]|\.(?=\d)){{5,}}\d(?![^\W{_EAST}]|/|[.,-]\d)")
@@ -143,12 +142,26 @@ def _announced(before: str) -> bool:
     return near.endswith(ROLES) and _ROLE.search(near) is not None
 
 
+_AROUND = re.compile(r"[@＠]|\s?[(\[]\s?at\s?[)\]]", re.I)
+_SPOKEN = re.compile(r"\sat\s(?=[A-Za-z0-9_-]+\sdot\s)", re.I)
+_LOCAL = re.compile(r"[A-Za-zÀ-ÿ0-9_.+%-]")
+
+
 def _mails(text: str) -> list[tuple[int, int]]:
-    """E-mail addresses, their marks looked for by plain search first."""
-    low = text.lower()
-    if "@" not in low and "＠" not in low and not (("dot" in low or "at)" in low or "at]" in low or "at )" in low or "at ]" in low) and _MAIL_MARK.search(text)):
-        return []
-    return [m.span() for m in EMAIL.finditer(text)]
+    """E-mail addresses, tried only around their marks."""
+    marks = [m.start() for m in _AROUND.finditer(text)]
+    if " dot " in text or "dot" in text.lower():
+        marks += [m.start() for m in _SPOKEN.finditer(text)]
+    out: list[tuple[int, int]] = []
+    for at in sorted(marks):
+        start, least = at, out[-1][1] if out else 0
+        while start > least and _LOCAL.match(text[start - 1]):
+            start -= 1
+        while start < at and text[start] == ".":
+            start += 1
+        if m := EMAIL.match(text, start):
+            out.append(m.span())
+    return out
 
 
 @functools.cache
@@ -196,7 +209,7 @@ def _starts(text: str, at: int) -> bool:
 
 _CAPITAL = re.compile(rf"(?<![\w@.+-])[{_UPPER}][^\W\d_]+(?![\w@])")
 _SMALL = re.compile(rf"(?<![\w@.+-])[{_LOWER}][^\W\d_]+(?![\w@])")
-_OPENING = re.compile(rf"(?:^|[.!?\n。>])[ \t\"'(\[]*([{_UPPER}][^\W\d_]+)")
+_OPENING = re.compile(rf"[.!?\n。>][ \t\"'(\[]*([{_UPPER}][^\W\d_]+)")
 _NAME = rf"(?:[{_UPPER}]\. )?[{_UPPER}][^\W\d_]+(?:-[{_UPPER}][^\W\d_]+)*"
 _ANNOUNCED = re.compile(rf"(?<!\w)(?:(?i:{_TITLE_ANY})\.? |(?i:{_ROLE_ANY})[.:,]?\s+)(?:(?i:{_TITLE_ANY})\.? )*({_NAME})(?:(,? )(?:[{_UPPER}]\. )?({_NAME}))?")
 
@@ -216,9 +229,16 @@ def evidence(text: str) -> dict[str, list[int]]:
                 own = counts[key] = [0, 0, 0, 0]
             own[at] += n
 
-    add(Counter(_CAPITAL.findall(text)), 1)
-    add(Counter(_SMALL.findall(text)), 2)
-    add(Counter(_OPENING.findall(text)), 3)
+    # Words don't reach over blanks, so that each different piece between blanks is looked at once.
+    capital, small = Counter(), Counter()
+    for piece, n in Counter(text.split()).items():
+        for word in _CAPITAL.findall(piece):
+            capital[word] += n
+        for word in _SMALL.findall(piece):
+            small[word] += n
+    add(capital, 1)
+    add(small, 2)
+    add(Counter(_OPENING.findall("\n" + text)), 3)
     strong: Counter = Counter()
 
     def name(words: str) -> None:
@@ -257,6 +277,7 @@ class Lexicon:
         #: Words beyond ``rows`` that the texts at hand hold.
         self.rest: dict[str, tuple[int, int, int, int]] = {}
         self.known: dict[str, bool] = {}
+        self.pieces: dict[str, tuple[str, ...]] = {}
 
     def name_like(self, word: str) -> bool:
         """Whether a word may be part of a person's name; remembered, within bounds."""
@@ -268,6 +289,16 @@ class Lexicon:
             answer = self.known[word] = fold(word) not in _TITLE_SET and (name > 0.05 if word[0].isupper() else name > 0.2) and small < 0.5
         return answer
 
+    def names_in(self, piece: str) -> tuple[str, ...]:
+        """The words of a piece of text without blanks that may be parts of names; remembered, within bounds."""
+        found = self.pieces.get(piece)
+        if found is None:
+            if len(self.pieces) > 300_000:
+                self.pieces.clear()
+            words = [w.rstrip(".") for w in _WORD.findall(piece) if len(w) > 2]
+            found = self.pieces[piece] = tuple(w for w in words if self.name_like(w))
+        return found
+
     def rates(self, word: str) -> tuple[float, float, float]:
         """Of a hyphenated word, the least name-like part counts."""
         best = (1.0, 0.0, 0.0)
@@ -323,10 +354,9 @@ def _near(text: str, words: set[str]) -> list[tuple[int, int]]:
 
 def _names(text: str, lexicon: Lexicon, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Runs of name-like words: given names, initials and surnames in either order."""
-    hits = {w for w in set(_WORD.findall(text)) if len(w) > 2 and lexicon.name_like(w[:-1] if w[-1] == "." else w)}
-    if not hits:
+    known = {w for piece in set(text.split()) for w in lexicon.names_in(piece)}
+    if not known:
         return []
-    known = {w.rstrip(".") for w in hits}
     tokens, last = [], 0
     for low, high in _near(text, known):
         for m in _WORD.finditer(text, max(low, last), high):
