@@ -16,15 +16,15 @@ class Boosted:
 
     def margin(self, x: np.ndarray) -> np.ndarray:
         out = np.full(len(x), self.bias)
-        rows = np.arange(len(x))
+        flat, start = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1]
         for feature, threshold, left, right, value in self.trees:
+            # A leaf leads to itself.
+            leaf = feature < 0
+            own = np.arange(len(feature))
+            f, low, high = np.where(leaf, 0, feature), np.where(leaf, own, left), np.where(leaf, own, right)
             at = np.zeros(len(x), np.int64)
-            while True:
-                inner = feature[at] >= 0
-                if not inner.any():
-                    break
-                f = np.maximum(feature[at], 0)
-                at = np.where(inner, np.where(x[rows, f] <= threshold[at], left[at], right[at]), at)
+            while not leaf[at].all():
+                at = np.where(flat[start + f[at]] <= threshold[at], low[at], high[at])
             out += value[at]
         return out
 

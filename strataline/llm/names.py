@@ -5,11 +5,13 @@ organisation, or the surname, given name and initials of a person. Names of one
 *class* and compared once.
 
 Blocks are suffixes of the words, from a least length up to the whole word. A suffix that is too
-common is left to keys that two names must share if the rules link them: of both words of a
-person, or of a word and the line of business, what is left when a slip is taken out; of words run
-together, their pieces. These bring together pairs without a common suffix too, and are joined in
-blocks of any size. In the blocks of suffixes a pair is compared for its longest common suffix
-only. Words are compared by the ratio of their longest common subsequence.
+common is refined by other fields: the line of business and the number of words, or how the other
+word of a person begins. What is too common even then is left to keys that two names must share if
+the rules link them: of both words of a person, or of a word and the line of business, what is left
+when a slip is taken out; of words run together, their pieces. These bring together pairs without a
+common suffix too, and are joined in blocks of any size. In the blocks of suffixes a pair is
+compared for its longest common suffix only. Words are compared by the ratio of their longest
+common subsequence, words of two names paired by assignment.
 
 Initials alone ("Funevisa W") fit several persons. They are linked last, and only where all
 persons that they fit are one.
@@ -21,7 +23,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, combinations, permutations, product
+from itertools import chain, combinations, product
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,8 +35,8 @@ from strataline.llm.skeleton import plain
 from strataline.session import checkpoint_dir
 
 #: Suffixes shorter than this aren't indexed.
-LEAST_SUFFIX = 1
-#: A suffix of more classes than this is left to the keys of ``_candidates``.
+LEAST_SUFFIX = 3
+#: A suffix of more classes than this is refined, and then left to the keys of ``_candidates``.
 MOST_PLAIN = 40
 #: Least ratios of the longest common subsequence: of a word, of a person's word, of words run together.
 LEAST_WORD, LEAST_PERSON, LEAST_GIVEN, LEAST_JOINED = 0.75, 0.84, 0.75, 0.88
@@ -189,21 +191,62 @@ def _given_fits(a: str, b: str) -> bool:
     return any(_person_word_fits(x, y, LEAST_GIVEN) for x in given_forms(a) for y in given_forms(b))
 
 
+def _paired(a: list[str], b: list[str], taken: tuple[int, int] | None = None) -> bool:
+    """Whether the words of ``a`` can be paired with those of ``b``, as many, so that all fit; ``taken`` are paired already.
+
+    Augmenting paths: polynomial in the number of words.
+    """
+    fits: dict[int, list[int]] = {}
+    free = [j for j in range(len(b)) if taken is None or j != taken[1]]
+    for i in range(len(a)):
+        if taken is None or i != taken[0]:
+            # Equal words first: as a rule they are the pairing.
+            fits[i] = sorted((j for j in free if _word_fits(a[i], b[j], LEAST_WORD)), key=lambda j: a[i] != b[j])
+            if not fits[i]:
+                return False
+    of: dict[int, int] = {}
+
+    def place(i: int, seen: set[int]) -> bool:
+        for j in fits[i]:
+            if j not in seen:
+                seen.add(j)
+                if j not in of or place(of[j], seen):
+                    of[j] = i
+                    return True
+        return False
+
+    return all(place(i, set()) for i in fits)
+
+
 def same_organisation(a: tuple, b: tuple) -> bool:
-    """Whether two parses of kind ``o`` name one organisation."""
+    """Whether two parses of kind ``o`` name one organisation.
+
+    As many words: all can be paired, one pair closely. A word less: one word is two of the others
+    run together, and the rest can be paired.
+    """
     words_a, words_b = a[0], b[0]
     if a[1] != b[1] or not words_a or not words_b:
         return False
     if len(words_a) == len(words_b):
         if len(words_a) == 1:
             return _word_fits(words_a[0], words_b[0], LEAST_PERSON)
-        return any(all(_word_fits(x, y, LEAST_WORD) for x, y in zip(words_a, p)) and any(ratio(x, y) >= LEAST_PERSON for x, y in zip(words_a, p)) for p in permutations(words_b))
-    # Words run together.
+        close = sorted(((i, j) for i, x in enumerate(words_a) for j, y in enumerate(words_b) if _close(x, y)), key=lambda p: words_a[p[0]] != words_b[p[1]])
+        return any(_paired(words_a, words_b, p) for p in close)
     few, many = (words_a, words_b) if len(words_a) < len(words_b) else (words_b, words_a)
     if len(many) - len(few) != 1 or any(w.endswith(".") for w in many):
         return False
-    joined = "".join(few)
-    return any(ratio(joined, "".join(p)) >= LEAST_JOINED for p in permutations(many))
+    for i, word in enumerate(few):
+        for j, x in enumerate(many):
+            for k, y in enumerate(many):
+                if j != k and 2 * min(len(word), len(x) + len(y)) >= LEAST_JOINED * (len(word) + len(x) + len(y)) and ratio(word, x + y) >= LEAST_JOINED:
+                    if _paired(few[:i] + few[i + 1 :], [w for n, w in enumerate(many) if n not in (j, k)]):
+                        return True
+    return False
+
+
+def _close(a: str, b: str) -> bool:
+    """Whether two words fit and are alike beyond doubt."""
+    return a == b or 2 * min(len(a), len(b)) / (len(a) + len(b)) >= LEAST_PERSON and ratio(a, b) >= LEAST_PERSON and _word_fits(a, b, LEAST_WORD)
 
 
 def same_person(a: tuple, b: tuple) -> str:
@@ -236,14 +279,19 @@ def same_person(a: tuple, b: tuple) -> str:
     return ""
 
 
-def suffixes(kind: str, words: list[str]) -> list[str]:
-    """Every indexed suffix."""
+def suffixes(kind: str, words: list[str], business: str = "", initials: str = "") -> list[tuple[str, str]]:
+    """Every indexed suffix, with the fields that refine it if it is too common."""
     out = []
-    for word in words:
-        if word.endswith(".") or len(word) < 4:
+    for i, word in enumerate(words):
+        if word.endswith("."):
             continue
+        if kind == "o":
+            fields = [f"{business}|{len(words)}"]
+        else:
+            others = [f[0] for n, w in enumerate(words) if n != i for f in given_forms(w)] or [initials[:1]]
+            fields = list(dict.fromkeys(others))
         for form in given_forms(word) if kind == "p" else (word,):
-            out += [form[-n:] for n in range(LEAST_SUFFIX, min(len(form), 12) + 1)]
+            out += [(form[-n:], f) for n in range(min(LEAST_SUFFIX, len(form)), min(len(form), 12) + 1) for f in fields]
     return out
 
 
@@ -285,20 +333,24 @@ def _blocked(classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, keys = [], []
+            at, made = [], []
             d = batch.to_pydict()
-            for i, (kind, words) in enumerate(zip(d["kind"], d["words"])):
-                own = dict.fromkeys(suffixes(kind, words))
-                at += [i] * len(own)
-                keys += own
-            taken = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(keys, pa.string())], names=[*batch.schema.names, "suffix"])
-
-    schema = "class_id long, kind string, words array<string>, business string, initials string, country string, suffix string"
-    rows = classes.select("class_id", "kind", "words", "business", "initials", "country").mapInArrow(run, schema)
-    rows = rows.withColumn("key", F.concat_ws("|", "kind", "suffix"))
-    sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= MOST_PLAIN)).select("key")
-    return rows.join(sizes, "key")
+            for i, own in enumerate(zip(d["kind"], d["words"], d["business"], d["initials"])):
+                keys = dict.fromkeys(suffixes(*own))
+                at += [i] * len(keys)
+                made += keys
+            columns = list(zip(*made)) if made else [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array([d["class_id"][i] for i in at], pa.int64()), pa.array([d["kind"][i] for i in at], pa.string()), *(pa.array(c, pa.string()) for c in columns)], names=["class_id", "kind", "suffix", "fields"])
+
+    own = classes.select("class_id", "kind", "words", "business", "initials")
+    rows = own.mapInArrow(run, "class_id long, kind string, suffix string, fields string")
+    # A class has a suffix once, whatever the number of its fields.
+    sizes = rows.groupBy("kind", "suffix").agg(F.countDistinct("class_id").alias("n")).where("n > 1")
+    sized = rows.join(sizes, ["kind", "suffix"])
+    plain = F.concat_ws("|", "kind", "suffix")
+    keyed = sized.select(F.when(F.col("n") <= MOST_PLAIN, plain).otherwise(F.concat_ws("|", plain, F.lit("+"), "fields")).alias("key"), "suffix", "class_id").distinct()
+    kept = keyed.groupBy("key").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= MOST_PLAIN)).select("key")
+    return keyed.join(kept, "key").join(classes.select("class_id", "kind", "words", "business", "initials", "country"), "class_id")
 
 
 def _links(blocked: DataFrame) -> DataFrame:
@@ -349,9 +401,6 @@ def _links(blocked: DataFrame) -> DataFrame:
 KEYS = "class_id long, key string, anchor string, rest string, own boolean, active boolean"
 #: A longer word is found by one of its pieces instead of by its subsequences.
 MOST_SUBSEQUENCES = 14
-#: Names of as many words are compared with all of a word less.
-MANY_WORDS = 5
-
 
 @lru_cache(maxsize=10_000)
 def _least_common(a: int, b: int, least: float) -> int:
@@ -418,24 +467,17 @@ def person_keys(words: list[str], initials: str) -> Iterator[tuple[str, str, str
 def joined_keys(words: list[str], business: str, many: dict[int, list[int]]) -> Iterator[tuple[str, str, str | None, bool, bool]]:
     """Like ``organisation_keys`` for names of which one has a word more than the other.
 
-    A name has the pieces of its words run together in every order, for names of a word less;
-    ``many`` has the lengths that these occur in by their number of words. From MANY_WORDS on
-    the orders are too many, and all names of a line of business are compared.
+    A name has the pieces of every two of its words run together, for names of a word less; ``many``
+    has the lengths of these by the number of words.
     """
-    n, joined = len(words), "".join(words)
+    n = len(words)
     if n > 1 and not any(w.endswith(".") for w in words):
-        if n >= MANY_WORDS:
-            yield f"m|{business}|{n}", "many", None, False, False
-        else:
-            for run in sorted({"".join(p) for p in permutations(words)}):
-                for i, (start, end) in enumerate(pieces(len(run), LEAST_JOINED)):
-                    yield f"j|{business}|{n}|{len(run)}|{i}|{run[start:end]}", "many", None, False, False
-    if n + 1 in many and n + 1 >= MANY_WORDS:
-        yield f"m|{business}|{n + 1}", "few", None, False, True
-    elif n + 1 in many:
-        for size in many[n + 1]:
-            for i, v in sorted(set(probes(joined, size, LEAST_JOINED))):
-                yield f"j|{business}|{n + 1}|{size}|{i}|{v}", "few", None, False, True
+        for run in sorted({x + y for i, x in enumerate(words) for j, y in enumerate(words) if i != j}):
+            for i, (start, end) in enumerate(pieces(len(run), LEAST_JOINED)):
+                yield f"j|{business}|{n}|{len(run)}|{i}|{run[start:end]}", "many", None, False, False
+    for size in many.get(n + 1, ()):
+        for i, v in sorted({x for word in words for x in probes(word, size, LEAST_JOINED)}):
+            yield f"j|{business}|{n + 1}|{size}|{i}|{v}", "few", None, False, True
 
 
 def organisation_keys(words: list[str], business: str, sizes: tuple[int, ...]) -> Iterator[tuple[str, str, str | None, bool, bool]]:
@@ -463,11 +505,13 @@ def _candidates(classes: DataFrame) -> DataFrame:
 
     A join of keys, without Python, in which large blocks may be split and spill.
     """
-    # Bounded: lengths of words, and of all words of a name.
+    # Bounded: lengths of words, and of two words, by the number of words.
     organisations = classes.where("kind = 'o'")
     sizes = tuple(sorted(r[0] for r in organisations.select(F.explode("words").alias("word")).select(F.length("word")).distinct().collect()))
     many: dict[int, list[int]] = {}
-    for n, length in organisations.select(F.size("words"), F.length(F.array_join("words", ""))).distinct().collect():
+    long = F.transform("words", lambda w: F.length(w))
+    pairs = F.explode(F.flatten(F.transform(long, lambda x, i: F.transform(F.filter(long, lambda y, j: i != j), lambda y: x + y)))).alias("length")
+    for n, length in sorted(tuple(r) for r in organisations.where(F.size("words") > 1).select(F.size("words"), pairs).distinct().collect()):
         many.setdefault(n, []).append(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

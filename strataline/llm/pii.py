@@ -77,7 +77,7 @@ STREETS_NL = "straat laan weg plein gracht kade dijk singel"
 STREETS_RU = "ул. улица проспект пр. переулок пер. площадь бульвар"
 COMPANY = "ltd limited inc gmbh ag sa plc llc bv co corp university institute laboratories hospital buffer reagent"
 _TITLE_SET, _COMPANY_SET = set(TITLES.split()), set(COMPANY.split())
-_CUE_SETS = {k: set(v.split()) for k, v in CUES.items()}
+_CUE_KINDS = {w: tuple(i for i, v in enumerate(CUES.values()) if w in v.split()) for v in CUES.values() for w in v.split()}
 _TITLE_ANY = "|".join(sorted((re.escape(t) for t in TITLES.split() if len(t) > 1), key=len, reverse=True))
 _ROLE_ANY = "|".join(sorted(map(re.escape, ROLES), key=len, reverse=True))
 
@@ -354,7 +354,8 @@ def _near(text: str, words: set[str]) -> list[tuple[int, int]]:
 
 def _names(text: str, lexicon: Lexicon, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Runs of name-like words: given names, initials and surnames in either order."""
-    known = {w for piece in set(text.split()) for w in lexicon.names_in(piece)}
+    remembered = lexicon.pieces
+    known = {w for piece in set(text.split()) for w in (remembered[piece] if piece in remembered else lexicon.names_in(piece))}
     if not known:
         return []
     tokens, last = [], 0
@@ -468,9 +469,13 @@ _GROUPS = re.compile(r"\d+")
 _POSTCODE = re.compile(r"\d{4,5}")
 
 
-def _cue_distance(words: list[tuple[int, str]], at: int, cues: set[str]) -> float:
-    """How far, in characters, the nearest cue lies in front; 99 if there is none."""
-    return min((at - s for s, w in words if w in cues), default=99)
+def _cue_distances(words: list[tuple[int, str]], at: int) -> list[float]:
+    """How far, in characters, the nearest cue of each kind lies in front; 99 if there is none."""
+    out = [99.0] * len(CUES)
+    for start, word in words:
+        for k in _CUE_KINDS.get(word, ()):
+            out[k] = min(out[k], float(at - start))
+    return out
 
 
 def features(text: str, span: tuple[int, int, int], lexicon: Lexicon, mails: list[tuple[int, int]]) -> list[float]:
@@ -506,10 +511,7 @@ def features(text: str, span: tuple[int, int, int], lexicon: Lexicon, mails: lis
         float("." in item),
         float("-" in item),
         float("(" in item),
-        float(_cue_distance(words, s, _CUE_SETS["phone"])),
-        float(_cue_distance(words, s, _CUE_SETS["id_number"])),
-        float(_cue_distance(words, s, _CUE_SETS["address"])),
-        float(_cue_distance(words, s, _CUE_SETS["other"])),
+        *_cue_distances(words, s),
         float(previous in _TITLE_SET),
         float(kind == 4 and _announced(before)),
         min(r[0] for r in rates),
@@ -662,8 +664,8 @@ def found(df: DataFrame, key: str, text: str, trees: tuple[Boosted, ...], thresh
         trees, thresholds, rows = shared.value
         own = Finder(trees, list(thresholds), Lexicon(rows))
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 2_000):
+                part = batch.slice(at, 2_000)
                 texts = part.column(1).to_pylist()
                 own.lexicon.rest = {x["word"]: tuple(x[c] for c in _COUNTS) for held in part.column(2).to_pylist() for x in held or ()}
                 spans = own.find([t or "" for t in texts])

@@ -1,5 +1,6 @@
 import random
-from itertools import combinations
+import time
+from itertools import combinations, permutations
 
 import numpy as np
 import pytest
@@ -252,6 +253,52 @@ def test_entities_against_all_pairs(spark):
     assert names.entities(df.limit(0), "name_id", "applicant_name", "country").count() == 0
 
 
+def test_persons_against_all_pairs(spark):
+    r = random.Random(18)
+    surnames, given = ["Li", "Xu", "Kim", "Bo", "Lee", "Wendovic", "Wendowic", "Kessurana", "Tolderlo"], ["Wei", "William", "Bill", "Hannah", "Hanna", "An", "Robert", "Bob", "Jo"]
+    texts = sorted({f for s in surnames for g in given for f in r.sample([f"{g} {s}", f"{s}, {g}", f"{s.upper()} {g}", f"{s[:-1]}k {g}", f"{g[1:]}x {s}", f"{s} {g[0]}", f"{g[0]}. {s}"], 2)})
+    parsed = [names.parse(t) for t in texts]
+    assert all(p[0] == "p" for p in parsed)
+    df = spark.createDataFrame(list(enumerate(texts)), "name_id long, applicant_name string").selectExpr("*", "CAST(NULL AS string) AS country")
+    members, classes = names.classes_of(names.parsed(df, "name_id", "applicant_name", "country"))
+    links = names._links(names._blocked(classes)).unionByName(names._exact_links(classes)).distinct()
+    of = {m.name_id: m.class_id for m in members.collect()}
+    got = {(x.a, x.b) for x in links.collect()}
+    want = set()
+    for (i, p), (j, q) in combinations(enumerate(parsed), 2):
+        if of[i] != of[j] and names.same_person((p[1], "", p[3], ""), (q[1], "", q[3], "")):
+            want.add((min(of[i], of[j]), max(of[i], of[j])))
+    assert got == want and len(want) > 60
+
+
+def test_short_surnames_and_long_names(spark):
+    texts = ["Li Wei", "Wei Li", "Kim An", "An Kim"]
+    assert linked_names(spark, texts) == {(0, 1), (2, 3)}
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdefghij") for _ in range(8)) for _ in range(12)]
+    other = [w[:3] + "x" + w[4:] for w in reversed(words)]
+    began = time.perf_counter()
+    for _ in range(100):
+        assert names.same_organisation((words, ""), (other, ""))
+        assert not names.same_organisation((words, ""), (words[:11] + ["zzzzzzzz"], ""))
+    assert time.perf_counter() - began < 2.0
+
+
+def test_assignment_against_permutations():
+    r = random.Random(6)
+    yes = 0
+    for _ in range(3000):
+        n = r.randint(1, 4)
+        a = ["".join(r.choice("ab") for _ in range(r.randint(4, 6))) for _ in range(n)]
+        b = ["".join(r.choice("ab") for _ in range(r.randint(4, 6))) for _ in range(n)]
+        fits = lambda x, y: names._word_fits(x, y, names.LEAST_WORD)
+        want = any(all(map(fits, a, p)) and any(names.ratio(x, y) >= names.LEAST_PERSON for x, y in zip(a, p)) for p in permutations(b))
+        if n > 1:
+            assert names.same_organisation((a, ""), (b, "")) == want
+            yes += want
+    assert yes > 100
+
+
 def linked_names(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "name_id long, applicant_name string").selectExpr("*", "CAST(NULL AS string) AS country")
     return {(p.name_a, p.name_b) for p in names.entity_pairs(names.entities(df, "name_id", "applicant_name", "country")).collect()}
