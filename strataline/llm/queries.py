@@ -15,7 +15,7 @@ from strataline.llm.packing import fill_report, packed
 from strataline.llm.pii import found
 from strataline.llm.pii_examples import trained
 from strataline.llm.skeleton import disguised, look_alikes
-from strataline.llm.survivors import choose_rows, survivors, unbeaten
+from strataline.llm.survivors import Bundle, choose_rows, survivors, unbeaten
 from strataline.session import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,30 +80,25 @@ def _abstract_length() -> Column:
     return F.when(is_missing(F.col("abstract")), 0).otherwise(F.length("abstract"))
 
 
+#: Microseconds since 1970, whatever the zone of the session.
+ARRIVED = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(loaded_at AS TIMESTAMP_NTZ))"
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row of each family that no other row beats in abstract, office or arrival."""
-    trusts = {"abstract": _abstract_length(), "office": -office_rank(F.col("country")), "recency": F.col("loaded_at")}
+    trusts = {"abstract": _abstract_length(), "office": -office_rank(F.col("country")), "recency": F.expr(ARRIVED)}
     best = unbeaten(table(spark, sf_dir, "patents_raw"), plain_family(F.col("family_id")), trusts, "seq")
     return best.where("at_root").select(F.col("group").alias("family_id"), "seq")
 
 
-#: Fields that are taken from one row together.
-BUNDLES = {
-    "office": ["patent_id", "country", "number", "kind", "publication_date", "priority_date"],
-    "abstract": ["abstract", "abstract_lang"],
-    "title": ["title", "title_lang"],
-    "codes": ["ipcs", "cpcs"],
-    "applicant": ["applicant"],
-}
-
-
 def p6_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One surviving record per family, bundle by bundle, title and abstract of rows of one language.
 
     A row's language is its title's label, failing that its abstract's, as its SQL has it. The
     labels of the two texts themselves may differ; ``p6_consistent`` has them equal.
     """
-    return _survivors(spark, sf_dir, F.lower(F.trim(F.coalesce("title_lang", "abstract_lang", F.lit("")))))
+    lang = F.lower(F.trim(F.coalesce("title_lang", "abstract_lang", F.lit(""))))
+    return _survivors(spark, sf_dir, dict.fromkeys(LABELLED, lang))
 
 
 def p6_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,18 +109,22 @@ def p6_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _survivors(spark, sf_dir, {k: F.lower(F.trim(F.coalesce(c, F.lit("")))) for k, c in LABELLED.items()})
 
 
-def _survivors(spark: SparkSession, sf_dir: str, lang: Column | dict[str, Column]) -> DataFrame:
-    raw = table(spark, sf_dir, "patents_raw")
+def _survivors(spark: SparkSession, sf_dir: str, lang: dict[str, Column]) -> DataFrame:
+    """The most complete values; of those as complete the ones of the better office, then the later ones."""
+    raw, family = table(spark, sf_dir, "patents_raw"), plain_family(F.col("family_id"))
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
-    trusts = {
-        "office": F.when(~blank("patent_id"), 1000.0 - 100 * office_rank(F.col("country"))),
-        "abstract": F.when(~is_missing(F.col("abstract")), F.length("abstract")),
-        "title": F.when(~is_missing(F.col("title")), F.length("title")),
-        "codes": F.when(~blank("ipcs") | ~blank("cpcs"), F.length(F.coalesce("ipcs", F.lit(""))) + F.length(F.coalesce("cpcs", F.lit("")))),
-        "applicant": F.when(~blank("applicant"), F.length("applicant")),
+    text = lambda c: F.when(~is_missing(F.col(c)), F.length(c))
+    codes = F.when(~blank("ipcs") | ~blank("cpcs"), F.length(F.coalesce("ipcs", F.lit(""))) + F.length(F.coalesce("cpcs", F.lit(""))))
+    # Fields of a bundle are taken from one row together.
+    bundles = {
+        "abstract": Bundle(text("abstract"), ("abstract", "abstract_lang"), {"text_lang": lang["abstract"]}),
+        "title": Bundle(text("title"), ("title", "title_lang"), {"text_lang": lang["title"]}),
+        "office": Bundle(F.when(~blank("patent_id"), 1000.0 - 100 * office_rank(F.col("country"))), ("patent_id", "country", "number", "kind", "publication_date", "priority_date")),
+        "codes": Bundle(codes, ("ipcs", "cpcs")),
+        "applicant": Bundle(F.when(~blank("applicant"), F.length("applicant")), ("applicant",)),
     }
-    chosen = choose_rows(raw, plain_family(F.col("family_id")), lang, trusts)
-    return survivors(raw, chosen, BUNDLES).withColumnRenamed("group", "family_id")
+    chosen = choose_rows(raw, family, bundles, [-office_rank(F.col("country")), F.expr(ARRIVED)])
+    return survivors(raw, family, chosen.drop("nodes"), bundles).withColumnRenamed("group", "family_id")
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,8 +15,8 @@ def _blank(c: str) -> str:
 
 
 def _best(trust: str, by: str, name: str) -> str:
-    """The row of greatest trust, then smallest seq, of each group that has any."""
-    return f"""{name} AS (SELECT * FROM (SELECT {by}, seq, {trust} AS trust, row_number() OVER (PARTITION BY {by} ORDER BY {trust} DESC, seq) AS rn FROM t WHERE {trust} IS NOT NULL) WHERE rn = 1)"""
+    """The row of greatest trust, then best office, latest arrival and smallest seq, of each group that has any."""
+    return f"""{name} AS (SELECT * FROM (SELECT {by}, seq, {trust} AS trust, row_number() OVER (PARTITION BY {by} ORDER BY {trust} DESC, office, loaded_at DESC NULLS LAST, seq) AS rn FROM t WHERE {trust} IS NOT NULL) WHERE rn = 1)"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -33,7 +33,7 @@ def oracle_sql() -> dict[str, str]:
  CASE WHEN {_missing('abstract')} THEN 0 ELSE length(abstract) END AS chars, {_RANK} AS office, loaded_at FROM patents_raw),
 m AS (SELECT family_id, max(chars) AS chars, min(office) AS office, max(loaded_at) AS loaded_at FROM t WHERE family_id <> '' GROUP BY family_id HAVING count(*) > 1)
 SELECT family_id, min(seq) AS seq FROM t JOIN m USING (family_id, chars, office, loaded_at) GROUP BY family_id""",
-        "p6_survivors": rf"""WITH t AS (SELECT seq, {_FAMILY} AS fam, lower(trim(coalesce(title_lang, abstract_lang, ''))) AS lang,
+        "p6_survivors": rf"""WITH t AS (SELECT seq, {_FAMILY} AS fam, lower(trim(coalesce(title_lang, abstract_lang, ''))) AS lang, {_RANK} AS office, loaded_at,
  CASE WHEN NOT ({_blank('patent_id')}) THEN CAST(1000 - 100 * {_RANK} AS DOUBLE) END AS o,
  CASE WHEN NOT {_missing('abstract')} THEN CAST(length(abstract) AS DOUBLE) END AS a, CASE WHEN NOT {_missing('title')} THEN CAST(length(title) AS DOUBLE) END AS ti,
  CASE WHEN NOT ({_blank('ipcs')}) OR NOT ({_blank('cpcs')}) THEN CAST(length(coalesce(ipcs, '')) + length(coalesce(cpcs, '')) AS DOUBLE) END AS c,

@@ -1,6 +1,6 @@
 import random
 import time
-from itertools import combinations, permutations
+from itertools import combinations, permutations, product
 
 import numpy as np
 import pytest
@@ -157,31 +157,76 @@ def test_unbeaten_against_brute_force(spark):
 
 def test_branch_and_bound_against_all_choices():
     r = random.Random(4)
-    for _ in range(300):
-        maybe = lambda: (float(r.randint(0, 9)), r.randint(1, 99)) if r.random() < 0.7 else None
-        cands = [{"value": v, "first": maybe(), "second": maybe()} for v in "abcd"[: r.randint(1, 4)]]
-        won, trust, root = survivors.branch_and_bound(cands, 3.0)
-        every = [3.0 + sum(c[k][0] for k in ("first", "second") if c[k]) for c in cands]
-        assert trust == max(every) <= root
+    visited = every_node = 0
+    for _ in range(400):
+        ties = [tuple(sorted(r.sample(range(3), r.randint(0, 2)))) for _ in range(r.randint(1, 5))]
+        bundles = [
+            [(float(r.randint(1, 9)), r.randint(1, 99), tuple(r.choice(["x", "y", None]) if d in own else None for d in range(3))) for _ in range(r.randint(0, 4))] for own in ties
+        ]
+        for may_be_empty in (True, False) if all(bundles) else (True,):
+            won, trust, root, nodes = survivors.branch_and_bound(bundles, ties, may_be_empty)
+            best = float("-inf")
+            for choice in product(*[[None, *own] for own in bundles]):
+                held = {}
+                ok = all(held.setdefault(d, c[2][d]) == c[2][d] for c, own in zip(choice, ties) if c for d in own)
+                # Without leave, a bundle is empty only if the ones before it exclude all of its candidates.
+                if ok and not may_be_empty:
+                    seen = {}
+                    for c, own, pool in zip(choice, ties, bundles):
+                        if c is None and any(all(seen.get(d, x[2][d]) == x[2][d] for d in own) for x in pool):
+                            ok = False
+                        if c:
+                            seen.update({d: c[2][d] for d in own})
+                if ok:
+                    best = max(best, sum(c[0] for c in choice if c))
+            assert trust == best <= root, (bundles, ties)
+            kept = {}
+            assert all(kept.setdefault(d, c[2][d]) == c[2][d] for c, own in zip(won, ties) if c[1] is not None for d in own)
+            visited += nodes
+            every_node += int(np.prod([len(b) + 1 for b in bundles]))
+    assert visited < every_node / 4
+
+
+def test_bound_cuts_the_search():
+    # Twelve bundles of six values of one dependency: a full enumeration has 7 ** 12 leaves.
+    bundles = [[(float(10 + (v == "c") + k % 3), k * 10 + i, (v,)) for i, v in enumerate("abcdef")] for k in range(12)]
+    won, trust, root, nodes = survivors.branch_and_bound(bundles, [(0,)] * 12)
+    assert {c[2] for c in won} == {("c",)} and trust == root and nodes < 50
+
+
+def _bundles(lang, **more):
+    lang = lang if isinstance(lang, dict) else {"abstract": lang, "title": lang}
+    return {"abstract": survivors.Bundle(F.col("a"), (), {"lang": lang["abstract"]}), "title": survivors.Bundle(F.col("t"), (), {"lang": lang["title"]}), **more}
 
 
 def test_survivors_take_whole_bundles(spark):
     rows = [(1, "f", "en", 5.0, 1.0, 9.0, "A1"), (2, "f", "de", 6.0, None, 1.0, "A2"), (3, "f", "en", 4.0, 7.0, 2.0, "A3"), (3, "f", "en", 4.0, 7.0, 2.0, "A3"), (4, None, "en", 1.0, 1.0, 1.0, "A4"), (5, "g", None, None, None, None, None)]
     df = spark.createDataFrame(rows, "seq long, fam string, lang string, a double, t double, o double, name string")
-    chosen = survivors.choose_rows(df, F.col("fam"), F.col("lang"), {"abstract": F.col("a"), "title": F.col("t"), "office": F.col("o"), "codes": F.col("o"), "applicant": F.lit(None)})
+    more = {"office": survivors.Bundle(F.col("o"), ("name",)), "codes": survivors.Bundle(F.col("o"), ("lang",)), "applicant": survivors.Bundle(F.lit(None), ("o",))}
+    bundles = _bundles(F.col("lang"), **more)
+    chosen = survivors.choose_rows(df, F.col("fam"), bundles, [])
     got = {r.group: r for r in chosen.collect()}
     f = got["f"]
-    assert (f.n_rows, f.text_lang, f.abstract_row, f.title_row, f.office_row, f.applicant_row, f.trust, f.root_bound) == (4, "en", 1, 3, 1, None, 30.0, 31.0)
-    assert got["g"].abstract_row is None and got["g"].text_lang is None and None not in got
+    assert (f.n_rows, f.lang, f.abstract_row, f.title_row, f.office_row, f.applicant_row, f.trust, f.root_bound) == (4, "en", 1, 3, 1, None, 30.0, 31.0)
+    assert got["g"].abstract_row is None and got["g"].lang is None and None not in got
+    whole = {r.group: r for r in survivors.survivors(df, F.col("fam"), chosen.drop("nodes", "lang"), {k: bundles[k] for k in more}).collect()}
+    assert (whole["f"].name, whole["f"].lang, whole["f"].o) == ("A1", "en", None) and whole["g"].name is None and len(whole) == 2
+    assert survivors.choose_rows(df.limit(0), F.col("fam"), bundles, []).count() == 0
+
+
+def test_preferred_rows_win_among_equal_trust(spark):
+    df = spark.createDataFrame([(1, "f", 5.0, 1), (2, "f", 5.0, 3), (3, "f", 5.0, 3), (4, "f", 4.0, 9), (5, "f", 5.0, None)], "seq long, fam string, a double, p int")
+    got = survivors.choose_rows(df, F.col("fam"), {"b": survivors.Bundle(F.col("a"))}, [F.col("p")]).first()
+    assert (got.b_row, got.n_rows, got.trust) == (2, 5, 5.0)
 
 
 def test_title_and_abstract_have_labels_of_their_own(spark):
     # Row 1 has an abstract of another language than its title; row 4's title label is unknown.
     rows = [(1, "f", "en", "de", 9.0, 5.0), (2, "f", "en", "en", 3.0, 4.0), (3, "g", "de", "de", 2.0, 2.0), (4, "g", "", "de", 5.0, 9.0)]
     df = spark.createDataFrame(rows, "seq long, fam string, tl string, al string, a double, t double")
-    trusts = {"abstract": F.col("a"), "title": F.col("t"), "office": F.lit(1.0), "codes": F.lit(None), "applicant": F.lit(None)}
-    got = {r.group: r for r in survivors.choose_rows(df, F.col("fam"), {"abstract": F.col("al"), "title": F.col("tl")}, trusts).collect()}
-    assert [(g.n_rows, g.text_lang, g.abstract_row, g.title_row, g.trust, g.root_bound) for g in (got["f"], got["g"])] == [(2, "de", 1, None, 10.0, 15.0), (2, "", None, 4, 10.0, 15.0)]
+    bundles = _bundles({"abstract": F.col("al"), "title": F.col("tl")}, office=survivors.Bundle(F.lit(1.0)))
+    got = {r.group: r for r in survivors.choose_rows(df, F.col("fam"), bundles, []).collect()}
+    assert [(g.n_rows, g.lang, g.abstract_row, g.title_row, g.trust, g.root_bound) for g in (got["f"], got["g"])] == [(2, "de", 1, None, 10.0, 15.0), (2, "", None, 4, 10.0, 15.0)]
 
 
 # ---------------------------------------------------------------- names
