@@ -192,6 +192,26 @@ def readable(text: str) -> str:
     return text.lower() if text.isupper() and not _EASTERN.search(text) else text
 
 
+def stored_position(text: str, at: int) -> int:
+    """The place in ``text`` of the place ``at`` of its readable form: behind the longest beginning that isn't longer."""
+    low, high = 0, len(text)
+    while low < high:
+        middle = (low + high + 1) // 2
+        if len(readable(text[:middle])) <= at:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def _stored(text: str, form: str, segments: list[tuple[str, float, int, int]]) -> list[tuple[str, float, int, int]]:
+    """Segments of the readable ``form`` with the positions of ``text``."""
+    if len(form) == len(text):
+        return segments
+    inner = [stored_position(text, s[2]) for s in segments[1:]]
+    return [(lang, sure, a, b) for (lang, sure, _, _), a, b in zip(segments, [0, *inner], [*inner, len(text)])]
+
+
 class Identifier:
     """Assigns languages with one model; one per worker."""
 
@@ -436,8 +456,7 @@ def identified(df: DataFrame, keys: list[str], texts: dict[str, str], model: Mod
 
     A null text has no row; an empty or blank one, and one without letters, has one segment
     ``und`` of confidence 0. Segments are in order and cover the text; positions count code
-    points. Texts are brought to their plain form first; where that changes their length,
-    positions refer to the plain form.
+    points of the text as it stands, which is read in its plain form.
     """
     shared, name = df.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     cells = F.inline(F.array(*[F.struct(F.lit(t).alias("field"), F.col(f"`{label}`").alias("label"), F.col(f"`{t}`").alias("text")) for t, label in texts.items()]))
@@ -451,7 +470,9 @@ def identified(df: DataFrame, keys: list[str], texts: dict[str, str], model: Mod
         identifier = _IDENTIFIERS[name]
         kind = pa.list_(pa.struct([("lang", pa.string()), ("confidence", pa.float64()), ("start_pos", pa.int32()), ("end_pos", pa.int32())]))
         for batch in batches:
-            found = identifier.identify([readable(t) for t in batch.column(n + 2).to_pylist()])
+            texts = batch.column(n + 2).to_pylist()
+            forms = [readable(t) for t in texts]
+            found = [_stored(*x) for x in zip(texts, forms, identifier.identify(forms))]
             flat = [s for own in found for s in own]
             struct = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(zip(*flat), [f.type for f in kind.value_type])], fields=list(kind.value_type)) if flat else pa.array([], kind.value_type)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(o) for o in found])]).astype(np.int32)), struct)

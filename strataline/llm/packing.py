@@ -1,7 +1,7 @@
 """Filling fixed-capacity containers: vector bin packing by the dot-product heuristic.
 
-A container has three limits at once: tokens, segments and loss-bearing tokens. It is filled item
-by item; the next is the one whose demands have the greatest dot product with the room that is
+A container has three limits at once: tokens, segments and loss-bearing tokens, the last a share of
+its capacity, so that no container is all loss where others have none. It is filled item by item; the next is the one whose demands have the greatest dot product with the room that is
 left, among those that fit in every limit. Items are kept as counts of equal demands, so a step
 looks at the different demands only, and ties take the smallest item key.
 
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 #: Items of a shard, on average.
 SHARD_ITEMS = 20_000
+#: Loss-bearing tokens of a container, as a share of its capacity.
+LOSS_SHARE = 0.995
 #: More capacities than this aren't a table of limits.
 MOST_LIMITS = 1_000
 CONTAINER_SCHEMA = "limit_id int, container_id long, slot int, doc_id long, part int, first_token int, n_tokens int, loss_tokens int"
@@ -73,13 +75,14 @@ def fill(demands: np.ndarray, limits: np.ndarray) -> list[list[int]]:
     return containers
 
 
-def packed(items: DataFrame, limits: DataFrame, n_items: int | None = None, items_per_shard: int = SHARD_ITEMS, segment_tokens: int = 16) -> DataFrame:
+def packed(items: DataFrame, limits: DataFrame, n_items: int | None = None, items_per_shard: int = SHARD_ITEMS, segment_tokens: int = 16, loss_share: float = LOSS_SHARE) -> DataFrame:
     """Items in containers of every capacity in ``limits``.
 
     ``items``: ``doc_id`` (unique), ``n_tokens``, ``n_head`` (tokens that bear no loss, at the
     front); ``limits``: ``limit_id``, ``capacity_tokens``, a handful of rows. A container of
-    capacity c takes at most c tokens, c loss-bearing tokens and max(16, c / ``segment_tokens``)
-    segments. One row per item and container: ``part`` and ``first_token`` count from 0; an item
+    capacity c takes at most c tokens, c * ``loss_share`` loss-bearing tokens and max(16, c /
+    ``segment_tokens``) segments. As no text within the capacity is split, one that bears more loss
+    than that fills the limit by itself and has company without loss only. One row per item and container: ``part`` and ``first_token`` count from 0; an item
     of no tokens is one row of 0 tokens. Null counts are 0; capacities below 1 and null ones
     have no containers. No items, no rows. ``n_items`` is the number of items where it is known
     more cheaply than by counting ``items``; it decides how many shards there are.
@@ -97,10 +100,10 @@ def packed(items: DataFrame, limits: DataFrame, n_items: int | None = None, item
     # A row per capacity: the limits are read as a literal array, four in all, so that no join is needed.
     capacities = F.array(*[F.struct(F.lit(r.limit_id).alias("limit_id"), F.lit(r.capacity_tokens).alias("capacity_tokens")) for r in sizes.limit(MOST_LIMITS).collect()])
     pairs = rows.select("*", F.inline(capacities))
-    return pairs.groupBy("limit_id", "shard").applyInPandas(lambda frame: _pack_shard(frame, segment_tokens), CONTAINER_SCHEMA)
+    return pairs.groupBy("limit_id", "shard").applyInPandas(lambda frame: _pack_shard(frame, segment_tokens, loss_share), CONTAINER_SCHEMA)
 
 
-def _pack_shard(frame, segment_tokens: int):
+def _pack_shard(frame, segment_tokens: int, loss_share: float):
     import pandas as pd
 
     frame = frame.sort_values("doc_id", kind="stable")
@@ -112,8 +115,9 @@ def _pack_shard(frame, segment_tokens: int):
     item = np.flatnonzero((rest > 0) | (n == 0))
     first = whole[item] * capacity
     loss = np.maximum(0, n[item] - np.maximum(first, head[item]))
-    demands = np.column_stack([rest[item], np.ones(len(item), np.int64), loss])
-    containers = fill(demands, np.array([capacity, max(16, capacity // segment_tokens), capacity])) if len(item) else []
+    most_loss = max(1, int(capacity * loss_share))
+    demands = np.column_stack([rest[item], np.ones(len(item), np.int64), np.minimum(loss, most_loss)])
+    containers = fill(demands, np.array([capacity, max(16, capacity // segment_tokens), most_loss])) if len(item) else []
     order = np.array([i for c in containers for i in c], np.int64)
     number = np.repeat(np.arange(len(containers)), [len(c) for c in containers]) if containers else np.zeros(0, np.int64)
     slot = np.concatenate([np.arange(len(c)) for c in containers]) if containers else np.zeros(0, np.int64)
@@ -144,6 +148,6 @@ def fill_report(containers: DataFrame, limits: DataFrame) -> DataFrame:
         F.countDistinct("container_id").alias("n_containers"), F.count("*").alias("n_segments"), F.sum("n_tokens").alias("n_tokens")
     )
     sizes = limits.select(F.col("limit_id").cast("int"), F.col("capacity_tokens").cast("long"))
-    return per.join(F.broadcast(sizes), "limit_id").select(
+    return per.join(sizes, "limit_id").select(
         "limit_id", "capacity_tokens", "n_containers", "n_segments", "n_tokens", F.round(F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens")), 6).alias("used")
     )

@@ -21,6 +21,8 @@ from strataline.session import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: A table of more codes than this is none of languages, and refused.
+MOST_LANGUAGES = 10_000
 #: Text columns of patents_raw with the columns of their labels.
 LABELLED = {"title": "title_lang", "abstract": "abstract_lang"}
 
@@ -39,7 +41,9 @@ def _segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The languages of every title and abstract that is unlabelled, labelled wrongly or mixed."""
-    codes = [r["lang"] for r in table(spark, sf_dir, "lang_codes").select("lang").where("lang IS NOT NULL").limit(1000).collect()]
+    codes = [r["lang"] for r in table(spark, sf_dir, "lang_codes").select("lang").where("lang IS NOT NULL").distinct().limit(MOST_LANGUAGES + 1).collect()]
+    if len(codes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} language codes")
     label = F.lower(F.trim(F.coalesce("label", F.lit(""))))
     rows = _segments(spark, sf_dir).select("seq", "field", label.alias("label"), languages(F.col("segments")).alias("langs"))
     case = ~F.col("label").isin(codes) | (F.size("langs") > 1) | ~F.array_contains("langs", F.col("label"))

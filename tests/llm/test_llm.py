@@ -95,13 +95,14 @@ def test_encoded_frames(spark, encoder):
 # ---------------------------------------------------------------- packing
 
 
-def check_packing(rows, items, capacity, segments):
+def check_packing(rows, items, capacity, segments, loss_share=packing.LOSS_SHARE):
     per, seen = {}, {}
     for r in rows:
         per.setdefault(r.container_id, []).append(r)
         seen.setdefault(r.doc_id, []).append((r.part, r.first_token, r.n_tokens, r.loss_tokens))
     for own in per.values():
-        assert sum(r.n_tokens for r in own) <= capacity and len(own) <= segments and sum(r.loss_tokens for r in own) <= capacity
+        assert sum(r.n_tokens for r in own) <= capacity and len(own) <= segments
+        assert sum(r.loss_tokens for r in own) <= int(capacity * loss_share) or sum(r.loss_tokens > 0 for r in own) == 1
         assert sorted(r.slot for r in own) == list(range(len(own)))
     assert set(seen) == {d for d, _, _ in items}
     for doc, n, head in items:
@@ -126,6 +127,18 @@ def test_packing(spark):
     assert packing.packed(df.limit(0), limits).count() == 0
 
 
+def test_the_limit_of_loss_binds(spark):
+    # Texts without a head, and prompts that bear no loss: with half the capacity for loss each container needs both.
+    items = [(i, 10, 0) for i in range(400)] + [(1000 + i, 10, 10) for i in range(400)] + [(2000, 90, 0)]
+    df = spark.createDataFrame(items, "doc_id long, n_tokens int, n_head int")
+    limits = spark.createDataFrame([(1, 100)], "limit_id int, capacity_tokens int")
+    rows = packing.packed(df, limits, loss_share=0.5).collect()
+    n = check_packing(rows, items, 100, 16, 0.5)
+    free = packing.packed(df.where("n_head = 0"), limits, loss_share=1.0).select("container_id").distinct().count()
+    bound = packing.packed(df.where("n_head = 0"), limits, loss_share=0.5).select("container_id").distinct().count()
+    assert bound == 81 and free == 41 and n <= 83
+
+
 def test_fill_small_cases():
     assert packing.fill(np.array([[5, 1, 5], [5, 1, 0]]), np.array([10, 2, 5])) == [[0, 1]]
     assert len(packing.fill(np.array([[5, 1, 5], [5, 1, 5]]), np.array([10, 2, 9]))) == 2
@@ -441,6 +454,17 @@ def test_languages_and_segments(model):
     assert all(0 <= c <= 1 for x in who.identify([EN, mixed]) for _, c, _, _ in x)
 
 
+def test_segments_index_the_stored_text(spark, model):
+    wide = EN.replace("e", "e​")
+    text = f"ﬁ ﬀ {wide}. {DE}​ / {FR.replace('é', 'e' + chr(0x301))}"
+    assert len(langid.readable(text)) != len(text)
+    df = spark.createDataFrame([(1, text, None)], "seq long, title string, title_lang string")
+    segments = langid.identified(df, ["seq"], {"title": "title_lang"}, model).first().segments
+    assert [s.lang for s in segments] == ["en", "de", "fr"] and segments[0].start_pos == 0 and segments[-1].end_pos == len(text)
+    assert text[segments[1].start_pos :].lstrip("​").startswith(DE[:10]) and text[segments[2].start_pos :].startswith(FR[:4])
+    assert [a.end_pos for a in segments[:-1]] == [b.start_pos for b in segments[1:]]
+
+
 def test_identified_frames(spark, model):
     rows = [(1, EN, "de", "x"), (1, EN, "de", "x"), (2, None, None, "x"), (3, "", "en", "x"), (4, (DE + ". ") * 300, None, "x")]
     df = spark.createDataFrame(rows, "seq long, title string, title_lang string, segments string")
