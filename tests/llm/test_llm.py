@@ -33,6 +33,35 @@ def test_no_case(text):
     assert not skeleton.is_disguised(text) and skeleton.plain(text) == text
 
 
+@pytest.mark.parametrize(
+    "a,b",
+    [
+        ("paypal", "paypa1"), ("Illinois", "lllinois"), ("0xford", "Oxford"), ("ɡene", "gene"), ("ɑ-", "a-"), ("Ꭰ", "D"), ("օ", "o"), ("modern", "modem"), ("ı", "i"), ("ꓢꓔꓐ", "STB"), ("Ⲟⲥ", "Oc"),
+        ("௦", "0"), ("Ｉ", "1"), ("𝐀𝟎", "AO"), ("Α|", "Al"),
+    ],
+)
+def test_look_alikes_have_equal_skeletons(a, b):
+    assert skeleton.skeleton(a) == skeleton.skeleton(b) and skeleton.skeleton(skeleton.skeleton(a)) == skeleton.skeleton(a)
+
+
+def test_different_texts_have_different_skeletons():
+    for a, b in [("Medical", "Magical"), ("TNF-α", "TNF-β"), ("лес", "лис"), ("cat", "cut"), ("A", "a"), ("o", "O"), ("é", "è")]:
+        assert skeleton.skeleton(a) != skeleton.skeleton(b)
+
+
+def test_foreign_letters_in_latin_words():
+    assert skeleton.plain("ɡene оf Ꭰrosophila") == "gene of Drosophila" and skeleton.plain("Yıldız") == "Yıldız" and skeleton.plain("հայոց") == "հայոց"
+
+
+def test_open_scripts_are_settled_by_the_group(spark):
+    # All letters of these words look like letters of both scripts; the rest of the group says which are meant.
+    rows = [(1, "ОАО"), (2, "ОAО"), (3, "OAO"), (4, "OAO"), (5, "СОХА"), (6, "COXА"), (7, "СОХА​"), (8, "СОХА")]
+    df = spark.createDataFrame(rows, "seq long, title string")
+    got = {r.seq: r.plain_form for r in skeleton.disguised(df, ["seq"], ["title"]).collect()}
+    assert got[1] == "OAO" and got[2] == "OAO" and got[7] == "СОХА" and 5 not in got and 3 not in got
+    assert got[6] in ("COXA", "СОХА")
+
+
 def test_disguised_frames(spark):
     rows = [(1, "Mеd", "ok", "a"), (1, "Mеd", "ok", "b"), (None, None, "a b", "c"), (3, "", None, "d"), (4, "é" * 60_000 + "​", None, "e")]
     df = spark.createDataFrame(rows, "seq long, title string, applicant string, value string")
