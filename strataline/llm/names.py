@@ -336,19 +336,24 @@ def _blocked(classes: DataFrame) -> DataFrame:
             at, made = [], []
             d = batch.to_pydict()
             for i, own in enumerate(zip(d["kind"], d["words"], d["business"], d["initials"])):
-                keys = dict.fromkeys(suffixes(*own))
-                at += [i] * len(keys)
-                made += keys
+                fields: dict[str, list[str]] = {}
+                for suffix, f in dict.fromkeys(suffixes(*own)):
+                    fields.setdefault(suffix, []).append(f)
+                at += [i] * len(fields)
+                made += fields.items()
             columns = list(zip(*made)) if made else [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array([d["class_id"][i] for i in at], pa.int64()), pa.array([d["kind"][i] for i in at], pa.string()), *(pa.array(c, pa.string()) for c in columns)], names=["class_id", "kind", "suffix", "fields"])
+            types = (pa.string(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([d["class_id"][i] for i in at], pa.int64()), pa.array([d["kind"][i] for i in at], pa.string()), *(pa.array(c, t) for c, t in zip(columns, types))], names=["class_id", "kind", "suffix", "fields"]
+            )
 
     own = classes.select("class_id", "kind", "words", "business", "initials")
-    rows = own.mapInArrow(run, "class_id long, kind string, suffix string, fields string")
     # A class has a suffix once, whatever the number of its fields.
-    sizes = rows.groupBy("kind", "suffix").agg(F.countDistinct("class_id").alias("n")).where("n > 1")
-    sized = rows.join(sizes, ["kind", "suffix"])
+    rows = own.mapInArrow(run, "class_id long, kind string, suffix string, fields array<string>")
+    sizes = rows.groupBy("kind", "suffix").agg(F.count("*").alias("n")).where("n > 1")
     plain = F.concat_ws("|", "kind", "suffix")
-    keyed = sized.select(F.when(F.col("n") <= MOST_PLAIN, plain).otherwise(F.concat_ws("|", plain, F.lit("+"), "fields")).alias("key"), "suffix", "class_id").distinct()
+    keys = F.when(F.col("n") <= MOST_PLAIN, F.array(plain)).otherwise(F.transform("fields", lambda f: F.concat_ws("|", plain, F.lit("+"), f)))
+    keyed = rows.join(sizes, ["kind", "suffix"]).select(F.explode(keys).alias("key"), "suffix", "class_id")
     kept = keyed.groupBy("key").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= MOST_PLAIN)).select("key")
     return keyed.join(kept, "key").join(classes.select("class_id", "kind", "words", "business", "initials", "country"), "class_id")
 
@@ -464,15 +469,23 @@ def person_keys(words: list[str], initials: str) -> Iterator[tuple[str, str, str
                     yield "p|" + "|".join(sorted((v, w))), f"{x} {y}", None, (v, w) == (x, y), True
 
 
-def joined_keys(words: list[str], business: str, many: dict[int, list[int]]) -> Iterator[tuple[str, str, str | None, bool, bool]]:
+def _may_join(word: int, run: int) -> bool:
+    """Whether a word and two others run together, of these lengths, can have the ratio LEAST_JOINED."""
+    return _least_common(word, run, LEAST_JOINED) <= min(word, run)
+
+
+def joined_keys(words: list[str], business: str, many: dict[int, list[int]], few: dict[int, list[int]]) -> Iterator[tuple[str, str, str | None, bool, bool]]:
     """Like ``organisation_keys`` for names of which one has a word more than the other.
 
     A name has the pieces of every two of its words run together, for names of a word less; ``many``
-    has the lengths of these by the number of words.
+    has the lengths of these by the number of words, ``few`` those of single words: keys that no
+    other name can have aren't made.
     """
     n = len(words)
     if n > 1 and not any(w.endswith(".") for w in words):
         for run in sorted({x + y for i, x in enumerate(words) for j, y in enumerate(words) if i != j}):
+            if not any(_may_join(m, len(run)) for m in few.get(n - 1, ())):
+                continue
             for i, (start, end) in enumerate(pieces(len(run), LEAST_JOINED)):
                 yield f"j|{business}|{n}|{len(run)}|{i}|{run[start:end]}", "many", None, False, False
     for size in many.get(n + 1, ()):
@@ -513,6 +526,9 @@ def _candidates(classes: DataFrame) -> DataFrame:
     pairs = F.explode(F.flatten(F.transform(long, lambda x, i: F.transform(F.filter(long, lambda y, j: i != j), lambda y: x + y)))).alias("length")
     for n, length in sorted(tuple(r) for r in organisations.where(F.size("words") > 1).select(F.size("words"), pairs).distinct().collect()):
         many.setdefault(n, []).append(length)
+    few: dict[int, list[int]] = {}
+    for n, length in sorted(tuple(r) for r in organisations.select(F.size("words"), F.explode(long)).distinct().collect()):
+        few.setdefault(n, []).append(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.bool_()]
@@ -520,7 +536,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 500):
                 rows = []
                 for i, kind, words, business, initials in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns)):
-                    made = person_keys(words, initials) if kind == "p" else chain(organisation_keys(words, business, sizes), joined_keys(words, business, many))
+                    made = person_keys(words, initials) if kind == "p" else chain(organisation_keys(words, business, sizes), joined_keys(words, business, many, few))
                     rows += [(i, *k) for k in dict.fromkeys(made)]
                 columns = list(zip(*rows)) if rows else [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[x.split()[0] for x in KEYS.split(", ")])

@@ -428,7 +428,7 @@ def test_names_that_are_linked_share_a_key():
             other = [other[0] + other[1], *other[2:]]
         if names.same_organisation((words, ""), (other, "")):
             n += 1
-            left, right = ({k[0]: k[4] for k in [*names.organisation_keys(w, "", sizes), *names.joined_keys(w, "", many)]} for w in (words, other))
+            left, right = ({k[0]: k[4] for k in [*names.organisation_keys(w, "", sizes), *names.joined_keys(w, "", many, many)]} for w in (words, other))
             assert any(left[k] or right[k] for k in left.keys() & right.keys()), (words, other)
     assert n > 300
 
