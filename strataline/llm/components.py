@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataline.session import checkpoint_dir
+from strataline.session import checkpoint_dir, merging
 
 #: More rounds than any sensible chain of links needs; reached only by a fault.
 MOST_ROUNDS = 60
@@ -25,11 +25,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct().checkpoint()
     labels = edges.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m")).select("node", F.least("node", "m").alias("label"), F.lit(True).alias("moved")).checkpoint()
     for _ in range(MOST_ROUNDS):
-        near = edges.join(labels.select(F.col("node").alias("y"), "label"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("near"))
-        nearer = labels.join(near, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("new"))
+        near = edges.join(merging(labels.select(F.col("node").alias("y"), "label")), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("near"))
+        nearer = labels.join(merging(near), "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("new"))
         of = labels.select(F.col("node").alias("new"), F.col("label").alias("beyond"))
         labels = (
-            nearer.join(of, "new", "left")
+            nearer.join(merging(of), "new", "left")
             .select("node", F.least("new", F.coalesce("beyond", "new")).alias("now"), "label")
             .select("node", F.col("now").alias("label"), (F.col("now") < F.col("label")).alias("moved"))
             .checkpoint()

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from strataline.llm.components import components
 from strataline.llm.skeleton import plain
-from strataline.session import checkpoint_dir
+from strataline.session import checkpoint_dir, merging
 
 #: Suffixes shorter than this aren't indexed.
 LEAST_SUFFIX = 3
@@ -324,7 +324,7 @@ def classes_of(names: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = rows.groupBy("signature").agg(
         F.min("name_id").alias("class_id"), *[F.min(c).alias(c) for c in ("kind", "words", "business", "initials")], F.max("country").alias("country")
     )
-    members = rows.select("name_id", "signature").join(classes.select("signature", "class_id"), "signature").select("name_id", "class_id")
+    members = rows.select("name_id", "signature").join(merging(classes.select("signature", "class_id")), "signature").select("name_id", "class_id")
     return members, classes.drop("signature")
 
 
@@ -353,9 +353,10 @@ def _blocked(classes: DataFrame) -> DataFrame:
     sizes = rows.groupBy("kind", "suffix").agg(F.count("*").alias("n")).where("n > 1")
     plain = F.concat_ws("|", "kind", "suffix")
     keys = F.when(F.col("n") <= MOST_PLAIN, F.array(plain)).otherwise(F.transform("fields", lambda f: F.concat_ws("|", plain, F.lit("+"), f)))
-    keyed = rows.join(sizes, ["kind", "suffix"]).select(F.explode(keys).alias("key"), "suffix", "class_id")
+    keyed = rows.join(merging(sizes), ["kind", "suffix"]).select(F.explode(keys).alias("key"), "suffix", "class_id")
     kept = keyed.groupBy("key").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= MOST_PLAIN)).select("key")
-    return keyed.join(kept, "key").join(classes.select("class_id", "kind", "words", "business", "initials", "country"), "class_id")
+    parses = classes.select("class_id", "kind", "words", "business", "initials", "country")
+    return keyed.join(merging(kept), "key").join(merging(parses), "class_id")
 
 
 def _links(blocked: DataFrame) -> DataFrame:
@@ -547,7 +548,7 @@ def _candidates(classes: DataFrame) -> DataFrame:
     a, b = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "key"]) for side in "ab")
     # Equal anchors are compared for the whole word only. The distance is never above that by the common subsequence.
     near = F.levenshtein("rest_a", "rest_b") <= (1 - LEAST_WORD) * (F.length("rest_a") + F.length("rest_b"))
-    met = a.join(b, "key").where("class_id_a < class_id_b AND (active_a OR active_b) AND (anchor_a <> anchor_b OR own_a AND own_b)").where(F.coalesce(near, F.lit(True)))
+    met = a.join(merging(b), "key").where("class_id_a < class_id_b AND (active_a OR active_b) AND (anchor_a <> anchor_b OR own_a AND own_b)").where(F.coalesce(near, F.lit(True)))
     return met.select(F.col("class_id_a").alias("a"), F.col("class_id_b").alias("b")).distinct()
 
 
@@ -555,7 +556,7 @@ def _exact_links(classes: DataFrame) -> DataFrame:
     """``a``, ``b``, ``how`` of all classes that name one entity."""
     own = ["kind", "words", "business", "initials", "country"]
     sides = [classes.select(F.col("class_id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in own]) for s in "ab"]
-    pairs = _candidates(classes).join(sides[0], "a").join(sides[1], "b").where("kind_a = kind_b AND business_a = business_b")
+    pairs = _candidates(classes).join(merging(sides[0]), "a").join(merging(sides[1]), "b").where("kind_a = kind_b AND business_a = business_b")
     rest = [f"{c}_{s}" for s in "ab" for c in own[1:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -588,24 +589,26 @@ def entities(df: DataFrame, key: str, name: str, country: str) -> DataFrame:
     classes, members = classes.checkpoint(), members.checkpoint()
     links = _links(_blocked(classes)).unionByName(_exact_links(classes)).distinct().checkpoint()
     strong = components(links.where("how = 'strong'"))
-    everyone = classes.join(strong, F.col("class_id") == F.col("node"), "left").select(
+    everyone = classes.join(merging(strong), F.col("class_id") == F.col("node"), "left").select(
         "class_id", F.coalesce("component", "class_id").alias("entity"), ((F.col("kind") == "p") & (F.size("words") == 1)).alias("initials_only")
     )
     # Initials: linked where all full names that they fit are one entity; failing any full name, to each other.
     both = links.where("how = 'weak'").select("a", "b").unionByName(links.where("how = 'weak'").select(F.col("b").alias("a"), F.col("a").alias("b")))
     of = everyone.select(F.col("class_id").alias("b"), F.col("entity").alias("entity_b"), F.col("initials_only").alias("bare_b"))
-    fits = both.join(everyone.select(F.col("class_id").alias("a"), F.col("entity").alias("entity_a"), "initials_only").where("initials_only"), "a").join(of, "b")
+    bare_a = everyone.select(F.col("class_id").alias("a"), F.col("entity").alias("entity_a"), "initials_only").where("initials_only")
+    fits = both.join(merging(bare_a), "a").join(merging(of), "b")
     full = fits.where("NOT bare_b").groupBy("entity_a").agg(F.min("entity_b").alias("low"), F.max("entity_b").alias("high"))
     sure = full.where("low = high").select(F.col("entity_a").alias("a"), F.col("low").alias("b"))
-    bare = fits.where("bare_b").join(full.select("entity_a"), "entity_a", "left_anti").join(full.select(F.col("entity_a").alias("entity_b")), "entity_b", "left_anti")
+    fitting = [merging(full.select(F.col("entity_a").alias(e))) for e in ("entity_a", "entity_b")]
+    bare = fits.where("bare_b").join(fitting[0], "entity_a", "left_anti").join(fitting[1], "entity_b", "left_anti")
     alone = bare.groupBy("entity_a").agg(F.min("entity_b").alias("low"), F.max("entity_b").alias("high")).where("low = high").select(F.col("entity_a").alias("a"), F.col("low").alias("b"))
     joined = components(sure.unionByName(alone))
-    final = everyone.join(joined, F.col("entity") == F.col("node"), "left").select("class_id", F.coalesce("component", "entity").alias("entity_id"))
-    return members.join(final, "class_id").select("name_id", "entity_id")
+    final = everyone.join(merging(joined), F.col("entity") == F.col("node"), "left").select("class_id", F.coalesce("component", "entity").alias("entity_id"))
+    return members.join(merging(final), "class_id").select("name_id", "entity_id")
 
 
 def entity_pairs(named: DataFrame) -> DataFrame:
     """Each pair of names of one entity: ``name_a`` < ``name_b``."""
     left = named.select(F.col("name_id").alias("name_a"), "entity_id")
     right = named.select(F.col("name_id").alias("name_b"), "entity_id")
-    return left.join(right, "entity_id").where("name_a < name_b").select("name_a", "name_b")
+    return left.join(merging(right), "entity_id").where("name_a < name_b").select("name_a", "name_b")

@@ -14,6 +14,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def merging(df: DataFrame) -> DataFrame:
+    """The frame as a side of joins that are never broadcast.
+
+    The planner takes what comes out of an ``explode`` or a Python stage, and of a checkpoint of these, to be
+    about as large as the file it was read from. So a few MB of names whose keys take GB are broadcast through
+    the driver, under Spark's own threshold too. A merge join spills instead.
+    """
+    return df.hint("merge")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 

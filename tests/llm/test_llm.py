@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strataline.llm import bpe, langid, names, packing, pii, pii_examples, skeleton, survivors
+from strataline.llm import bpe, langid, names, packing, pii, pii_examples, queries, skeleton, survivors
 from strataline.llm.components import components
 
 # ---------------------------------------------------------------- skeletons
@@ -440,6 +440,24 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_names_do_not_pass_through_the_driver(spark, tmp_path):
+    # A few KB of names, of which the planner expects that all that is made of them is as small.
+    texts = ["Notbokmek Fomgankix Biosciences", "Notbokmekfomgankix Biosciences", "Funevisa William", "Funevisa W", "Smith John", "Gmith John"]
+    spark.createDataFrame(list(enumerate(texts)), "name_id long, applicant_name string").selectExpr("*", "CAST(NULL AS string) AS country").coalesce(1).write.parquet(str(tmp_path / "applicant_names.parquet"))
+    store, bus = spark._jsparkSession.sharedState().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+
+    def executions():
+        bus.waitUntilEmpty(60_000)
+        rows = store.executionsList()
+        return {(x := rows.apply(i)).executionId(): x.physicalPlanDescription() for i in range(rows.size())}
+
+    before = max(executions())
+    assert {(p.name_a, p.name_b) for p in queries.p2_found(spark, str(tmp_path)).collect()} == {(0, 1), (2, 3), (4, 5)}
+    plans = [plan for i, plan in executions().items() if i > before]
+    assert len(plans) > 10 and any("SortMergeJoin" in plan for plan in plans)
+    assert not any("Broadcast" in plan for plan in plans)
+
+
 # ---------------------------------------------------------------- languages
 
 EN = "The formulation may be combined with other agents that are known to act on the liver and the treatment was repeated after some days"
